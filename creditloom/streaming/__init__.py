@@ -1,0 +1 @@
+"""Kept empty on purpose: the feature pipelines are batch jobs and define no stream."""

@@ -14,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from creditloom.functions.naming import safe, spec_alias
-from creditloom.functions.nulls import flag, holds
+from creditloom.functions.text import literal, name, with_text
 
 Spec = Sequence[tuple[str, tuple[str, ...]]]
 
@@ -33,64 +33,75 @@ def parse_spec(text: str) -> list[tuple[str, tuple[str, ...]]]:
 
 @dataclass(frozen=True)
 class Subset:
-    """Rows matching ``predicate``; their aggregates get ``suffix``. No predicate: all rows."""
+    """Rows matching ``predicate`` (SQL text); their aggregates get ``suffix``. No predicate: all rows."""
 
     suffix: str = ""
-    predicate: Column | None = None
+    predicate: str | None = None
 
 
-def one(column: str, fn: str, order: str | None = None, predicate: Column | None = None) -> Column:
-    """A single aggregate. ``first`` / ``last`` skip missing values and need ``order``."""
-    x = F.col(column) if predicate is None else F.when(holds(predicate), F.col(column))
+def one(column: str, fn: str, order: str | None = None, within: str | None = None) -> str:
+    """A single aggregate as SQL text; ``within`` is a boolean column naming its rows.
+
+    ``first`` / ``last`` skip missing values and need a numeric ``order`` column (with a
+    primitive order the state stays a fixed-width row and Spark aggregates by hashing).
+    """
+    c = name(column)
+    x = c if within is None else f"if({within}, {c}, NULL)"
     if fn == "mean":
-        return F.avg(x)
-    if fn == "min":
-        return F.min(x)
-    if fn == "max":
-        return F.max(x)
-    if fn == "count":
-        return F.count(x)
+        return f"avg({x})"
+    if fn in ("min", "max", "count"):
+        return f"{fn}({x})"
     if fn == "sum":
-        total = F.coalesce(F.sum(x), F.lit(0))
-        return total if predicate is None else F.when(F.count_if(holds(predicate)) > 0, total)
+        total = f"coalesce(sum({x}), 0)"
+        return total if within is None else f"if(count_if({within}) > 0, {total}, NULL)"
     if fn in ("first", "last"):
         if order is None:
             raise ValueError(f"{fn} of {column} needs an order column")
-        at = F.when(x.isNotNull(), F.col(order))
-        return F.min_by(x, at) if fn == "first" else F.max_by(x, at)
+        known = f"{c} is not null" + (f" and {within}" if within else "")
+        return f"{'min_by' if fn == 'first' else 'max_by'}({c}, if({known}, {name(order)}, NULL))"
     raise ValueError(f"unknown aggregate {fn!r}")
 
 
-def spec_columns(spec: Spec, subset: Subset = Subset(), order: str | None = None) -> list[Column]:
-    return [one(c, fn, order, subset.predicate).alias(spec_alias(c, fn, subset.suffix))
-            for c, fns in spec for fn in fns]
+def spec_text(spec: Spec, suffix: str = "", order: str | None = None, within: str | None = None) -> list[str]:
+    return [f"{one(c, fn, order, within)} as {name(spec_alias(c, fn, suffix))}" for c, fns in spec for fn in fns]
 
 
 def spec_names(spec: Spec, suffix: str = "") -> list[str]:
     return [spec_alias(c, fn, suffix) for c, fns in spec for fn in fns]
 
 
+def grouped(df: DataFrame, keys: Sequence[str], items: Iterable[str]) -> DataFrame:
+    """Aggregates given as SQL text; rows with a missing key are left out."""
+    listed = ", ".join(name(k) for k in keys)
+    known = " and ".join(f"{name(k)} is not null" for k in keys)
+    return df.sparkSession.sql(f"select {', '.join([listed, *items])} from {{rows}} where {known} group by {listed}", rows=df)
+
+
 def aggregate(df: DataFrame, keys: Sequence[str], parts: Iterable[tuple[Spec, Subset]],
-              order: str | None = None, extra: Iterable[Column] = ()) -> DataFrame:
-    """All ``parts`` in one aggregate; rows with a missing key are left out."""
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    columns = [c for spec, subset in parts for c in spec_columns(spec, subset, order)]
-    return df.groupBy(*keys).agg(*columns, *extra)
+              order: str | None = None, extra: Iterable[str] = ()) -> DataFrame:
+    """All ``parts`` in one aggregate. Each subset is tested once per row, as a boolean column."""
+    parts = list(parts)
+    flags = {f"_in{i}": f"coalesce({s.predicate}, false)" for i, (_, s) in enumerate(parts) if s.predicate}
+    items = [t for i, (spec, s) in enumerate(parts)
+             for t in spec_text(spec, s.suffix, order, f"_in{i}" if s.predicate else None)]
+    return grouped(with_text(df, flags) if flags else df, keys, [*items, *extra])
+
+
+def rest_of(column: str, values: Sequence) -> str:
+    """Predicate for the rows in none of the categories; a missing category is one of them."""
+    return f"not coalesce({name(column)} in ({', '.join(literal(v) for v in values)}), false)"
 
 
 def group_means(df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = "") -> DataFrame:
     """Mean of each column per group."""
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    return df.groupBy(*keys).agg(*[F.avg(F.col(f"`{c}`")).alias(c + suffix) for c in columns])
+    return grouped(df, keys, [f"avg({name(c)}) as {name(c + suffix)}" for c in columns])
 
 
-def indicators(column: str, values: Sequence, prefix: str) -> dict[str, Column]:
-    """One 0/1 column per category; a missing value is 0 everywhere."""
-    return {f"{prefix}_{safe(v)}": flag(F.col(column) == F.lit(v)) for v in values}
+def indicators(column: str, values: Sequence, prefix: str) -> dict[str, str]:
+    """One 0/1 column per category, as text; a missing value is 0 everywhere."""
+    return {f"{prefix}_{safe(v)}": f"cast(coalesce({name(column)} = {literal(v)}, false) as double)" for v in values}
 
 
-def indicator_shares(column: str, values: Sequence, prefix: str) -> list[Column]:
+def indicator_shares(column: str, values: Sequence, prefix: str) -> list[str]:
     """Share of the rows of a group in each category."""
-    return [F.avg(c).alias(n) for n, c in indicators(column, values, prefix).items()]
+    return [f"avg({e}) as {name(n)}" for n, e in indicators(column, values, prefix).items()]

@@ -9,22 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from creditloom.operators.aggregate import Spec, Subset, spec_columns, spec_names
+from creditloom.functions.text import coded, name, with_text
+from creditloom.operators.aggregate import Spec, grouped, spec_names, spec_text
 from creditloom.operators.ordered import with_positions
 from creditloom.operators.slices import Order, as_orders, order_struct
 from creditloom.session import materialise
 
 #: A vocabulary up to this many rows is broadcast.
 BROADCAST_ROWS = 100_000
+#: Up to this many categories are written into the query as literals: no join at all.
+LITERAL_ROWS = 64
 
 
-def fixed_codes(column: str | Column, codes: Mapping) -> Column:
-    """Code of each value by a fixed table; values outside of it become NULL."""
-    c = F.col(column) if isinstance(column, str) else column
-    table = F.create_map(*[F.lit(v) for pair in codes.items() for v in pair])
-    return F.try_element_at(table, c)
+def fixed_codes(df: DataFrame, tables: Mapping[str, Mapping]) -> DataFrame:
+    """Replace columns by fixed codes; values outside of a table become NULL."""
+    return with_text(df, {c: coded(name(c), codes) for c, codes in tables.items()})
 
 
 def categories(df: DataFrame, column: str, limit: int = 1000) -> list:
@@ -62,13 +63,26 @@ def first_seen_codes(df: DataFrame, columns: Sequence[str], order_by: Sequence[s
     return numbered.select("column", "value", F.col("code").cast("int").alias("code"))
 
 
+def _by_column(vocabulary: DataFrame, columns: Sequence[str], fields: Sequence[str]) -> tuple[dict, dict]:
+    """Small vocabularies as ``{column: {value: fields}}``, and the sizes of the larger ones."""
+    sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()}
+    small = [c for c in columns if sizes.get(c, 0) <= LITERAL_ROWS]
+    tables: dict[str, dict] = {c: {} for c in small}
+    if small:  # at most LITERAL_ROWS rows per column
+        for r in vocabulary.where(F.col("column").isin(small)).collect():
+            tables[r["column"]][r["value"]] = [r[f] for f in fields]
+    return tables, {c: sizes[c] for c in columns if c not in tables}
+
+
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by its code from :func:`first_seen_codes`."""
     codes = materialise(codes)
-    sizes = {r["column"]: r["count"] for r in codes.groupBy("column").count().collect()}
-    for c in columns:
+    tables, large = _by_column(codes, columns, ["code"])
+    df = with_text(df, {c: coded(name(c), {v: k[0] for v, k in t.items()}) if t else "cast(NULL as int)"
+                        for c, t in tables.items()})
+    for c, rows in large.items():
         own = codes.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
-        df = lookup(df, own, [c], sizes.get(c, 0)).drop(c).withColumnRenamed("_code", c)
+        df = lookup(df, own, [c], rows).drop(c).withColumnRenamed("_code", c)
     return df
 
 
@@ -85,11 +99,17 @@ def response_fit(train: DataFrame, columns: Sequence[str], label: str = "TARGET"
 
 def response_apply(df: DataFrame, vocabulary: DataFrame, columns: Sequence[str], drop: bool = True) -> DataFrame:
     """Add ``<column>_0`` and ``<column>_1``; unseen categories get NULL."""
-    sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()}
-    for c in columns:
+    tables, large = _by_column(vocabulary, columns, ["p0", "p1"])
+    added = {}
+    for c, t in tables.items():
+        for k in (0, 1):
+            added[f"{c}_{k}"] = (coded(f"cast({name(c)} as string)", {v: p[k] for v, p in t.items()}) if t
+                                 else "cast(NULL as double)")
+    df = with_text(df, added)
+    for c, rows in large.items():
         own = vocabulary.where(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("p0").alias(f"{c}_0"), F.col("p1").alias(f"{c}_1"))
-        small = F.broadcast(own) if sizes.get(c, 0) <= BROADCAST_ROWS else own
+        small = F.broadcast(own) if rows <= BROADCAST_ROWS else own
         df = df.join(small, F.col(c).cast("string") == F.col("_value"), "left").drop("_value")
     return df.drop(*columns) if drop else df
 
@@ -116,19 +136,12 @@ def response_out_of_fold(train: DataFrame, columns: Sequence[str], fold: str, la
 
 def interactions_fit(train: DataFrame, groups: Sequence[Sequence[str]], spec: Spec) -> dict[tuple[str, ...], DataFrame]:
     """Statistics of ``spec`` per category tuple, named ``<COL>_<FN>_AGG_<tuple>``."""
-    fitted = {}
-    for g in groups:
-        suffix = "_AGG_" + "_".join(g)
-        known = train
-        for c in g:
-            known = known.where(F.col(c).isNotNull())
-        fitted[tuple(g)] = materialise(known.groupBy(*g).agg(*spec_columns(spec, Subset(suffix))))
-    return fitted
+    return {tuple(g): materialise(grouped(train, g, spec_text(spec, "_AGG_" + "_".join(g)))) for g in groups}
 
 
 def interactions_apply(df: DataFrame, fitted: Mapping[tuple[str, ...], DataFrame]) -> DataFrame:
-    for g, table in fitted.items():
-        df = lookup(df, table, g)
+    for g, statistics in fitted.items():
+        df = lookup(df, statistics, g)
     return df
 
 

@@ -39,3 +39,9 @@ def f32_all(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def sql_f32(expression: str, name: str) -> str:
     return f"cast(cast({expression} as float) as double) as \"{name}\""
+
+
+def forced_limit(df: DataFrame, slices: int = 500) -> int:
+    """A group limit low enough to cut the larger groups of the test tables, yet never
+    into more than about ``slices`` pieces altogether, however large the table."""
+    return max(-(-df.count() // slices), 1)

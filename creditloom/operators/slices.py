@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil
+from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -23,8 +23,6 @@ SLICE = "_slice"
 MIN_ROWS_PER_SLICE = 1_000_000
 #: Sampled rows per slice; more gives more even slices.
 SAMPLE_PER_SLICE = 40
-#: Cut points are searched in two steps: blocks of this many, then inside a block.
-CUT_BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -69,7 +67,8 @@ class SlicePlan:
     order_by: tuple[str | Order, ...]
     rows: int
     largest: int
-    cuts: DataFrame | None  # keys, cuts: array of order structs, blocks: every CUT_BLOCK-th of them
+    cuts: DataFrame | None  # keys, cuts: array of order structs, blocks: every block-th of them
+    block: int = 1
 
     @property
     def hot(self) -> bool:
@@ -92,22 +91,17 @@ class SlicePlan:
         """Add the slice number; a no-op when no group is oversized."""
         if not self.hot:
             return df
-        here = order_struct(self.order_by)
-
-        def below(cuts: Column) -> Column:
-            return F.size(F.filter(cuts, lambda cut: cut <= F.col("_here")))
-
-        block = below(F.col("_blocks"))
-        # blocks[i] is the last cut of block i, so `block` full blocks lie at or below the row
-        inside = below(F.slice(F.col("_cuts"), F.col("_block") * CUT_BLOCK + 1, F.lit(CUT_BLOCK)))
-        return (
-            self.join_bounded(df, self.cuts)
-            .withColumn("_here", here)
-            .withColumn("_block", F.when(F.col("_cuts").isNull(), 0).otherwise(block))
-            .withColumn(SLICE, F.when(F.col("_cuts").isNull(), 0)
-                        .otherwise(F.col("_block") * CUT_BLOCK + inside).cast("int"))
-            .drop("_here", "_block", "_cuts", "_blocks")
-        )
+        cuts, blocks, block = F.col("_cuts"), F.col("_blocks"), self.block
+        # blocks[i] is the last cut of block i: the number of blocks at or below the row leads
+        # to the one block to look into. The row's place in the order is bound as a lambda
+        # variable, so that it is built once per row and not once per cut.
+        coarse = F.transform(F.array(order_struct(self.order_by)), lambda here: F.struct(
+            here.alias("here"), F.size(F.filter(blocks, lambda cut: cut <= here)).alias("full")))
+        place = F.transform(coarse, lambda at: at["full"] * block + F.size(F.filter(
+            F.slice(cuts, at["full"] * block + 1, F.lit(block)), lambda cut: cut <= at["here"])))
+        return (self.join_bounded(df, self.cuts)
+                .withColumn(SLICE, F.when(cuts.isNull(), 0).otherwise(F.element_at(place, 1)).cast("int"))
+                .drop("_cuts", "_blocks"))
 
     def join_bounded(self, df: DataFrame, small: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         """Left join with a table that has at most one row per slice (size is bounded by the plan)."""
@@ -169,15 +163,17 @@ def plan_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Ord
     seen: dict[tuple, list] = defaultdict(list)
     for r in sample.collect():
         seen[tuple(r[k] for k in keys)].append(r["_at"])
-    lines = []
+    found = {}
     for g, points in seen.items():
         points.sort()
         n = min(wanted[g], len(points))
-        cuts = sorted({points[i * len(points) // n] for i in range(1, n)})
-        lines.append((*g, cuts, cuts[CUT_BLOCK - 1::CUT_BLOCK]))
+        found[g] = sorted({points[i * len(points) // n] for i in range(1, n)})
+    # two steps of about sqrt(cuts) comparisons each find a row's slice
+    block = max(1, isqrt(max((len(c) for c in found.values()), default=1)))
+    lines = [(*g, cuts, cuts[block - 1::block]) for g, cuts in found.items()]
     at = T.ArrayType(sample.schema["_at"].dataType)
     schema = T.StructType([*[df.schema[k] for k in keys],
                            T.StructField("_cuts", at), T.StructField("_blocks", at)])
     if not lines:  # the sample came back empty; correct all the same, only less even
         return SlicePlan(keys, order_by, rows, largest, None)
-    return SlicePlan(keys, order_by, rows, largest, spark.createDataFrame(lines, schema))
+    return SlicePlan(keys, order_by, rows, largest, spark.createDataFrame(lines, schema), block)

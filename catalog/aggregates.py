@@ -8,6 +8,7 @@ from creditloom.functions.naming import having, numeric_columns
 from creditloom.functions.text import with_text
 from creditloom.operators.aggregate import (Subset, aggregate, group_means, grouped, indicator_shares, one, parse_spec,
                                             rest_of, spec_names)
+from creditloom.operators.joins import left_join_detail
 from creditloom.operators.ordered import first_rows, last_rows, with_positions
 from pyspark.sql import functions as F
 
@@ -173,8 +174,9 @@ from orders left join lineitem on l_orderkey = o_orderkey group by o_custkey""")
 def group_mean_all_numeric(spark, sf):
     """Detail joined left to its owners, then the mean of every numeric column."""
     owners = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    joined = owners.join(table(spark, sf, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    columns = numeric_columns(joined, without=["o_orderkey", "o_custkey", "l_orderkey"])
+    lines = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    joined = left_join_detail(owners, lines, ["o_orderkey"])
+    columns = numeric_columns(joined, without=["o_orderkey", "o_custkey"])
     return f32_all(group_means(joined, ["o_custkey"], columns), ["o_custkey"])
 
 
@@ -186,7 +188,7 @@ def label_join(spark, sf):
     labels = table(spark, sf, "customer").selectExpr("c_custkey", "if(c_acctbal < 0, 1, 0) as target")
     detail = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
-    return labels.join(detail, "c_custkey", "left").select("c_custkey", "target", "o_orderkey", "o_totalprice")
+    return left_join_detail(labels, detail, ["c_custkey"]).select("c_custkey", "target", "o_orderkey", "o_totalprice")
 
 
 @query("first_last_skip_missing", f"""

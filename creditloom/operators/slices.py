@@ -107,7 +107,8 @@ class SlicePlan:
         """Left join with a table that has at most one row per slice (size is bounded by the plan)."""
         on = [*self.keys, *extra]
         if on:
-            return df.join(F.broadcast(small), on, "left")
+            joined = df.join(F.broadcast(small), on, "left")
+            return joined.select(*df.columns, *[c for c in small.columns if c not in on])
         # the whole table is one group: a single row of cuts under a constant key
         return (df.withColumn("_all", F.lit(0))
                 .join(F.broadcast(small.withColumn("_all", F.lit(0))), "_all", "left").drop("_all"))

@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from creditloom.plans import application, bureau, card, instalments, merge, pos, previous
 from creditloom.sources.sinks import Paths, write_final, write_stage
 
 
+TIE = "_tie"
+
+
+def with_tie(rows: DataFrame) -> DataFrame:
+    """A hash of the whole row: orders rows of the same month, and equal rows are interchangeable."""
+    return rows.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+
+
 def feature_tables(tables: Mapping[str, DataFrame], compat: bool = False) -> dict[str, DataFrame]:
     """The five applicant-level tables; each is one job over its own input."""
-    balances = bureau.balance_features(tables["bureau_balance"])
+    detail = {n: with_tie(tables[n]) for n in ("bureau_balance", "installments_payments", "POS_CASH_balance",
+                                                "credit_card_balance")}
+    balances = bureau.balance_features(detail["bureau_balance"], [TIE])
     return {
         "bureau": bureau.bureau_features(tables["bureau"], balances, compat),
         "previous": previous.previous_features(tables["previous_application"]),
-        "instalments": instalments.instalment_features(tables["installments_payments"],
-                                                       scope="table" if compat else "loan"),
-        "pos": pos.pos_features(tables["POS_CASH_balance"]),
-        "card": card.card_features(tables["credit_card_balance"]),
+        "instalments": instalments.instalment_features(detail["installments_payments"], [TIE],
+                                                       "table" if compat else "loan"),
+        "pos": pos.pos_features(detail["POS_CASH_balance"], [TIE]),
+        "card": card.card_features(detail["credit_card_balance"], [TIE]),
     }
 
 

@@ -11,9 +11,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Roll-ups are hundreds of columns wide; the stock limit of 100 would turn
-    # whole-stage code generation off for them.
-    "spark.sql.codegen.maxFields": "1000",
     "spark.ui.showConsoleProgress": "false",
 }
 

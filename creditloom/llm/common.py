@@ -35,10 +35,18 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read again: cuts the lineage, survives lost executors."""
-    path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once as Parquet to the shared folder and read again: cuts the lineage, survives lost executors.
+
+    The shuffle files of the write are dropped when it is done: what follows reads the stage only.
+    """
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = stage_path(spark, name), spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def slices(batch: pa.RecordBatch, column: int, budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from creditloom.llm import simhash
+from creditloom.llm import langid, mixing, packing, pii, quality, rules, simhash, substrings, tokens, tree_search
+from creditloom.llm.common import remainder, stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,74 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op1_language_families")
+def op1_language_families(spark, sf):
+    """The language of every whole text; learned where the crc32 of the id modulo 3 is not 1."""
+    docs = _documents(spark, sf)
+    model = langid.train(docs.where(remainder("doc_id", 3) != 1))
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
+    return langid.identify(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_line_quality")
+def op2_line_quality(spark, sf):
+    """The quality of every whole text; learned where the crc32 of the id modulo 4 is not 2."""
+    docs, labels = _documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels.where(remainder("doc_id", 4) != 2))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return quality.score_quality(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op3_cached_token_counts")
+def op3_cached_token_counts(spark, sf):
+    """Tokens of every whole text, from a cache that begins empty."""
+    counts = tokens.cached_token_counts(_documents(spark, sf), stage_path(spark, "token-cache"), vocabulary("byte_bpe_50k.json"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query("op4_adaptive_rules")
+def op4_adaptive_rules(spark, sf):
+    """Measures of every whole text and whether it passes its group's limits."""
+    return rules.judged(_documents(spark, sf))
+
+
+@query("op5_kmeans_tree")
+def op5_kmeans_tree(spark, sf):
+    """The 20 nearest of all vectors for each whose id is divisible by 20."""
+    return tree_search.search(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+@query("op6_personal_data")
+def op6_personal_data(spark, sf):
+    """Personal data in every whole text: fixed patterns and what the network adds."""
+    docs = _documents(spark, sf)
+    return pii.find_spans(docs, pii.train(docs), ["doc_id"])
+
+
+@query("op7_temperature_mix")
+def op7_temperature_mix(spark, sf):
+    """All documents mixed by source, words as tokens."""
+    return mixing.mix(_documents(spark, sf).select("doc_id", "source", mixing.word_count().alias("tokens")))
+
+
+@query("op9_repeated_spans")
+def op9_repeated_spans(spark, sf):
+    """Words left of every whole text when windows of 20 words are kept where they start first."""
+    kept = substrings.dedup_spans(_documents(spark, sf))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op10_packed_sequences")
+def op10_packed_sequences(spark, sf):
+    """Every document cut and packed into sequences of 2048 tokens."""
+    return packing.packed_documents(_documents(spark, sf), vocabulary("word_bpe_49k.json"))
+
+
 @query("op8_simhash_pigeonring")
 def op8_simhash_pigeonring(spark, sf):
     """Near-duplicate groups of all documents by 64-bit fingerprints."""

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from creditloom.llm.common import map_texts, stage
-from creditloom.llm.tokens import token_ids
+from creditloom.llm.tokens import AT_ONCE, token_ids
 
 #: A plan group: how many sequences, and what each holds as (length, times).
 Group = tuple[int, list[tuple[int, int]]]
@@ -158,10 +158,12 @@ def pack(pieces: DataFrame, length: str, order: list[str], capacity: int) -> Dat
 def _cut(vocabulary: str, capacity: int, end_id: int, texts: list) -> list:
     """For each text its number of ids with the end id, and the CRC-32 of each piece's ids."""
     totals, sums = [], []
-    for ids in token_ids(vocabulary, texts):
-        ids += end_id.to_bytes(4, "little")
-        totals.append(len(ids) // 4)
-        sums.append([zlib.crc32(ids[i:i + 4 * capacity]) for i in range(0, len(ids), 4 * capacity)])
+    ids, bounds = token_ids(vocabulary, texts)
+    data, end = ids.tobytes(), end_id.to_bytes(4, "little")
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        own = data[4 * a:4 * b] + end
+        totals.append(b - a + 1)
+        sums.append([zlib.crc32(own[i:i + 4 * capacity]) for i in range(0, len(own), 4 * capacity)])
     return [pa.array(totals, pa.int64()), pa.array(sums, pa.list_(pa.int64()))]
 
 
@@ -172,7 +174,7 @@ def packed_documents(docs: DataFrame, vocabulary: str, capacity: int = 2048, end
     A null text is empty: its only id is the end id. Rows with null or repeated doc_ids are packed like any
     other, each with pieces of its own. Only documents over ``capacity`` ids are cut. No documents: no rows.
     """
-    cut = map_texts(docs, [doc_id], text, partial(_cut, vocabulary, capacity, end_id), "_total bigint, _sums array<bigint>")
+    cut = map_texts(docs, [doc_id], text, partial(_cut, vocabulary, capacity, end_id), "_total bigint, _sums array<bigint>", AT_ONCE)
     pieces = stage(cut.select(F.col(doc_id).alias("doc_id"), "_total", F.posexplode("_sums").alias("piece", "ids_crc32"))
                    .select("doc_id", "piece", (F.col("piece").cast("bigint") * capacity).alias("start"),
                            F.least(F.lit(capacity), F.col("_total") - F.col("piece").cast("bigint") * capacity).cast("bigint").alias("length"),

@@ -3,9 +3,9 @@
 A library encodes a chunk of text the same in any surroundings if no token can cross the chunk's ends.
 For byte-level vocabularies whose pattern lets a token start with one blank that is so before each
 single blank between two other characters; for vocabularies that drop white space it is so at each
-blank and line feed. So each worker encodes a distinct chunk once, keeps it in a bounded memory of two
-generations, and puts texts together from chunks. Texts with other runs of white space go to
-the library whole (byte level).
+blank and line feed. So texts are cut into chunks, each distinct chunk of some texts is looked up once in a bounded memory
+of two generations, what is new there goes to the library, and the texts are put together from chunks. Texts
+with other runs of white space go to the library whole (byte level).
 """
 
 from __future__ import annotations
@@ -16,80 +16,135 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from creditloom.llm.common import map_texts, stage
 
-#: Chunks that a worker remembers in each of two generations, and the longest one worth it.
-REMEMBERED, LONGEST = 300_000, 64
+#: Chunks that a worker remembers in each of two generations, the longest one worth it, and bytes of text at once.
+REMEMBERED, LONGEST, AT_ONCE = 300_000, 64, 8 << 20
 
 
 class Chunks:
-    """A tokenizer with its memory of chunks; ``value`` makes what is kept of a chunk's ids."""
+    """A tokenizer with its memory of chunks as bytes of their ids (4 each, little-endian).
 
-    def __init__(self, path: str, value):
+    ``blanks``: a chunk stands for itself after one blank, and letter case matters; otherwise white space is
+    dropped and ASCII letters are alike in either case.
+    """
+
+    def __init__(self, path: str, blanks: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.library, self.value = Tokenizer.from_file(path), value
-        self.young, self.old = {}, {}
+        self.library, self.blanks = Tokenizer.from_file(path), blanks
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin a word (blanks), or end one
+        for token, number in vocabulary.items():
+            self.edge[number] = token.startswith("\u0120") if blanks else token.endswith("</w>")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.tails = {"": b"", ".": self.whole(["."])[0], ",": self.whole([","])[0]}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        made = []
+        for start in range(0, len(texts), 1024):
+            batch = self.library.encode_batch_fast(texts[start:start + 1024], add_special_tokens=False)
+            made += [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
+        return made
 
-    def encode(self, texts: list[str]) -> list:
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters: many in one call, told apart by the ids at words' ends."""
         made = []
-        for start in range(0, len(texts), 2048):
-            made += [self.value(e.ids) for e in self.library.encode_batch(texts[start:start + 2048], add_special_tokens=False)]
+        for start in range(0, len(words), 1000):
+            part = words[start:start + 1000]
+            line = " ".join(part)
+            ids = np.array(self.library.encode_batch_fast([" " + line if self.blanks else line], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self.edge[ids]) + (not self.blanks)
+            bounds = np.r_[cuts, len(ids)] if self.blanks else np.r_[0, cuts]
+            if len(bounds) == len(part) + 1 and bounds[0] == 0 and bounds[-1] == len(ids):
+                data = ids.tobytes()
+                made += [data[4 * a:4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            else:  # some letter is none to the library
+                made += self.whole([" " + w if self.blanks else w for w in part])
         return made
 
-    def learn(self, keys: set[str], as_text=lambda key: key) -> dict:
-        """A mapping that has all of ``keys``; ``as_text`` gives the text that a key stands for."""
+    def _key(self, chunk: str) -> tuple[str, str]:
+        """What is remembered of a chunk, and a full stop or comma after a word of letters, which is a token of its own."""
+        if not self.blanks:
+            if not chunk.isascii():
+                if not chunk[:-1].lower().isalpha():
+                    return chunk, ""  # a letter whose lower case has a mark: it joins what comes after
+            elif "|>" not in chunk:
+                chunk = chunk.lower()  # special tokens are told by case, so their chunks stay
+        if chunk.isalpha():
+            return chunk, ""
+        if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+            return chunk[:-1], chunk[-1]
+        return chunk, ""
+
+    def ids(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, by memory or library."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = {k: v for k, v in self.young.items() if len(k) <= LONGEST}, {}
-        missing = keys - self.young.keys()
-        kept = missing & self.old.keys()
-        self.young.update((k, self.old[k]) for k in kept)
-        fresh = list(missing - kept)
-        self.young.update(zip(fresh, self.encode([as_text(k) for k in fresh])))
-        return self.young
-
-
-@cache
-def _counter(path: str) -> Chunks:
-    return Chunks(path, len)
+        young, keys = self.young, [self._key(c) for c in chunks]
+        missing = {k for k, _ in keys if k not in young}
+        for k in missing & self.old.keys():
+            young[k] = self.old[k]
+        fresh = [k for k in missing if k not in young]
+        words = [k for k in fresh if k.isalpha()]
+        others = [k for k in fresh if not k.isalpha()]
+        young.update(zip(words, self._words(words)))
+        young.update(zip(others, self.whole([" " + k if self.blanks else k for k in others])))
+        tails = self.tails
+        return [young[k] + tails[t] if t else young[k] for k, t in keys]
 
 
 @cache
-def _identifier(path: str) -> Chunks:
-    return Chunks(path, lambda ids: np.array(ids, dtype="<u4").tobytes())
+def _chunks(path: str, blanks: bool) -> Chunks:
+    return Chunks(path, blanks)
 
 
-def _odd(part: str) -> bool:
-    return not part or part[0].isspace() or part[-1].isspace()
+def _split(texts: list[str], line_feeds: bool) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Where each text's chunks begin (and the end), the distinct chunks, and the number of each chunk among them."""
+    array = pa.array(texts, pa.string())
+    parts = pc.split_pattern(pc.replace_substring(array, "\n", " ") if line_feeds else array, " ")
+    coded = parts.flatten().dictionary_encode()
+    return parts.offsets.to_numpy().astype(np.int64), coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def count_tokens(path: str, texts: list[str | None]) -> list[int]:
     """Tokens of each text under a byte-level vocabulary that keeps one blank with the word after it."""
-    chunks = _counter(path)
-    split, words = [], set()
-    for text in texts:
-        parts = (text or "").split(" ")
-        parts[0] = "\n" + parts[0]  # marks a chunk without a blank before it; no other key starts with white space
-        words.update(parts)
-        split.append(parts)
-    odd = {w for w in words if _odd(w[1:] if w[:1] == "\n" else w)}
-    counts = chunks.learn(words - odd, lambda key: key[1:] if key[0] == "\n" else " " + key)
-    whole = {i for i, parts in enumerate(split) if odd and not odd.isdisjoint(parts)}
-    result = [None if i in whole else sum(map(counts.__getitem__, parts)) for i, parts in enumerate(split)]
-    for i in whole:
-        result[i] = chunks.encode([texts[i] or ""])[0]
+    if not texts:
+        return []
+    chunks, texts = _chunks(path, True), [t or "" for t in texts]
+    bounds, distinct, number = _split(texts, False)
+    plain = [bool(c) and not c[0].isspace() and not c[-1].isspace() for c in distinct]
+    known = iter(chunks.ids([c for c, p in zip(distinct, plain) if p]))
+    size = np.array([len(next(known)) // 4 if p else 0 for p in plain], dtype=np.int64)
+    odd = np.add.reduceat((~np.array(plain))[number].astype(np.int64), bounds[:-1]) > 0
+    total = np.add.reduceat(size[number], bounds[:-1])
+    heads = [distinct[k] for k in number[bounds[:-1]].tolist()]  # no blank before these
+    unlike = list(set(heads))
+    bare = dict(zip(unlike, (len(v) // 4 for v in chunks.whole(unlike))))
+    total += np.array([bare[h] for h in heads]) - size[number[bounds[:-1]]]
+    result = total.tolist()
+    for i in np.flatnonzero(odd).tolist():
+        result[i] = len(chunks.whole([texts[i]])[0]) // 4
     return result
 
 
-def token_ids(path: str, texts: list[str | None]) -> list[bytes]:
-    """Ids of each text, 4 bytes little-endian each, under a vocabulary that drops white space."""
-    chunks = _identifier(path)
-    split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-    ids = chunks.learn(set().union(*split) if split else set())
-    return [b"".join(map(ids.__getitem__, parts)) for parts in split]
+def token_ids(path: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row and where each text's begin (and the end), under a vocabulary that drops white space."""
+    if not texts:
+        return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+    bounds, distinct, number = _split([t or "" for t in texts], True)
+    values = _chunks(path, False).ids(distinct)
+    size = np.array([len(v) // 4 for v in values], dtype=np.int64)
+    flat = np.frombuffer(b"".join(values), dtype="<u4")
+    begin, length = (np.cumsum(size) - size)[number], size[number]
+    ends = np.cumsum(length)
+    at = np.repeat(begin - (ends - length), length) + np.arange(ends[-1])
+    return flat[at], np.r_[0, ends][bounds]
 
 
 def vocabulary_version(path: str) -> str:
@@ -130,7 +185,7 @@ def cached_token_counts(docs: DataFrame, cache_folder: str, vocabulary: str, doc
     def encode(texts: list) -> list:
         return [pa.array(count_tokens(vocabulary, texts), pa.int64())]
 
-    fresh = map_texts(to_encode, ["digest"], "content", encode, "n_tokens bigint")
+    fresh = map_texts(to_encode, ["digest"], "content", encode, "n_tokens bigint", AT_ONCE)
     fresh.withColumn("version", F.lit(version)).write.mode("append").parquet(cache_folder)
     counts = _read_cache(spark, cache_folder, version)
     return ids.join(counts, "digest").select(F.col("doc_id").alias(doc_id), "n_bytes", "n_tokens")

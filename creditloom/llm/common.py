@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Words of the corpus contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -62,27 +63,46 @@ def slices(batch: pa.RecordBatch, column: int, budget: int = SLICE_BYTES) -> Ite
         yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, keep: list[str], text: str, fn: Callable[[list], list], fields: str) -> DataFrame:
+def map_texts(df: DataFrame, keep: list[str], text: str, fn: Callable[[list], list], fields: str, at_once: int = SLICE_BYTES) -> DataFrame:
     """The columns ``keep`` and those ``fields`` that ``fn`` makes of the texts.
 
-    ``fn`` gets a list of texts (None where null) of bounded size and returns one Arrow array
-    per field. Only ``keep`` and ``text`` are read and sent.
+    ``fn`` gets a list of texts (None where null) of at most ``at_once`` bytes, or one longer text, and returns one Arrow array
+    per field. Only ``keep`` and ``text`` are read and sent, by place: their names may be any.
     """
-    given = df.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("_text"))
-    schema = given.select(*keep).schema
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] + [fields])
     width = len(keep)
+    given = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("text"))
+    names = [f"c{i}" for i in range(width)] + [f"f{i}" for i in range(len(StructType.fromDDL(fields)))]
+    kinds = [f.dataType for f in given.schema][:width] + [f.dataType for f in StructType.fromDDL(fields)]
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, width):
+            for part in slices(batch, width, at_once):
                 made = fn(part.column(width).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(width)] + made, names=names)
 
-    names = [*keep, *[x.split()[0].strip("`") for x in fields.split(",")]]
-    return given.mapInArrow(run, ddl)
+    schema = StructType([StructField(n, k) for n, k in zip(names, kinds)])
+    return given.mapInArrow(run, schema).toDF(*keep, *StructType.fromDDL(fields).names)
+
+
+def plain_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named by place, and the new name of each: helper columns then clash with none."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def keep_texts(docs: DataFrame, text: str, fn: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` whose text ``fn`` accepts."""
+    given, names = plain_names(docs)
+    marked = map_texts(given, given.columns, names[text], lambda texts: [pa.array(fn(texts), pa.bool_())], "good boolean")
+    return marked.where("good").drop("good").toDF(*docs.columns)
 
 
 def remainder(column: str, n: int):
     """crc32 of a column's text form, modulo ``n``: deals rows to folds alike in every engine."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
+
+
+def with_row_key(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` with ``_k1`` and ``_k2``, 96 bits that tell rows with other values in ``columns`` apart; null is a value."""
+    flags = [F.col(c).isNull() for c in columns]
+    return docs.withColumns({"_k1": F.xxhash64(*columns, *flags), "_k2": F.hash(*columns, *flags)})

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from creditloom.llm.common import map_texts
+from creditloom.llm.common import keep_texts, map_texts
 from creditloom.llm.linear import linear_svm, platt, sigmoid
 
 #: Families of languages by code. A language that is not listed is a family of its own.
@@ -219,3 +219,10 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
     A null text, or one without a letter, is ``und`` with score 0, as is every text if nothing was learned.
     """
     return map_texts(docs, keep, text, partial(_predict, model), "lang_pred string, score double")
+
+
+def recognised(docs: DataFrame, model: LanguageModel, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of ``least`` or more."""
+    def accept(texts: list) -> list[bool]:
+        return [label != UNDETERMINED and score >= least for label, score in zip(*model.predict(texts))]
+    return keep_texts(docs, text, accept)

@@ -19,7 +19,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from creditloom.llm.common import stage
+from creditloom.llm.common import plain_names, stage, with_row_key
 
 #: Halvings of the exponent's interval, tokens of a block of the mixture, and documents of a source's block.
 HALVINGS, MIX_TOKENS, BLOCK_DOCUMENTS = 24, 1_000_000, 1000
@@ -116,3 +116,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens:
 def word_count(text: str = "text"):
     """Tokens as words: runs of anything but ASCII white space."""
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("bigint")
+
+
+def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, each as many times as the mixture takes it, words as tokens; columns as they are."""
+    given, names = plain_names(docs)
+    keyed = with_row_key(given, names[doc_id], names[text], names[source])
+    counted = keyed.select(F.concat_ws(":", "_k1", "_k2").alias("_key"), F.col(names[source]).alias("source"), word_count(names[text]).alias("tokens"))
+    takes = mix(counted, "_key", **options)
+    totals = stage(takes.groupBy("_key").agg(F.count("*").alias("_taken"))
+                   .select(F.split("_key", ":").alias("_key"), "_taken")
+                   .select(F.col("_key")[0].cast("bigint").alias("_k1"), F.col("_key")[1].cast("int").alias("_k2"), "_taken"), "takes")
+    equal = Window.partitionBy("_k1", "_k2")
+    rows = (keyed.join(totals, ["_k1", "_k2"])
+            .withColumns({"_n": F.row_number().over(equal.orderBy("_k1")), "_rows": F.count("*").over(equal)}))
+    times = F.floor((F.col("_taken") - F.col("_n")) / F.col("_rows")).cast("int") + 1  # rows that are equal share their takes evenly
+    return rows.where(times > 0).withColumn("_take", F.explode(F.sequence(F.lit(1), times))).select(*given.columns).toDF(*docs.columns)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from creditloom.llm.common import map_texts
+from creditloom.llm.common import map_texts, plain_names
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE, EDGE = 128, 64, 32
@@ -440,5 +440,7 @@ def _masked(model: Tagger | None, texts: list) -> list:
 
 def mask(docs: DataFrame, model: Tagger | None, text: str = "text") -> DataFrame:
     """``docs`` with each span of the text replaced by its kind in angle brackets; other columns as they are."""
-    others = [c for c in docs.columns if c != text]
-    return map_texts(docs, others, text, partial(_masked, model), "_masked string").withColumnRenamed("_masked", text).select(*docs.columns)
+    given, names = plain_names(docs)
+    others = [c for c in given.columns if c != names[text]]
+    masked = map_texts(given, others, names[text], partial(_masked, model), "masked string")
+    return masked.withColumnRenamed("masked", names[text]).select(*given.columns).toDF(*docs.columns)

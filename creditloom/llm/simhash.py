@@ -13,14 +13,15 @@ Equal fingerprints are one row before any join, so groups of copies never meet a
 
 from __future__ import annotations
 
+from functools import partial
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from creditloom.llm.common import find_words, map_texts, stage
+from creditloom.llm.common import find_words, map_texts, plain_names, stage, with_row_key
 from creditloom.llm.components import components
 
 SEGMENTS, WIDTH, DISTANCE = 4, 16, 3
@@ -52,7 +53,7 @@ def _fingerprints(shingle: int, texts: list) -> list:
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """(doc_id, fp) for every row; whole texts. Null or wordless texts have fingerprint 0."""
-    return map_texts(docs, [doc_id], text, lambda texts: _fingerprints(shingle, texts), "fp bigint")
+    return map_texts(docs, [doc_id], text, partial(_fingerprints, shingle), "fp bigint")
 
 
 def _bits(x: str, start: int, length: int) -> str:
@@ -91,6 +92,12 @@ def links(distinct: DataFrame, fp: str = "fp", distance: int = DISTANCE) -> Data
     return plain.alias("p").join(near.alias("q"), (F.col("p.key") == F.col("q.key")) & viable).select("a", "b")
 
 
+def _rooted(classes: DataFrame, distance: int) -> DataFrame:
+    """(fp, least, root): the smallest fingerprint that each distinct one reaches."""
+    roots = components(links(classes.select("fp"), "fp", distance))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                 distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
@@ -101,8 +108,25 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     """
     prints = stage(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min(doc_id).alias("least")), "classes")
-    roots = components(links(classes.select("fp"), "fp", distance))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = stage(_rooted(classes, distance), "roots")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(of_class, "fp").select(doc_id, "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
+                distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that stand for their near-duplicate group: one of each, with the smallest doc_id.
+
+    Of rows with equal ids the one with the smaller hash stays, of equal rows one; null ids come last.
+    """
+    given, names = plain_names(docs)
+    keyed = with_row_key(given, names[doc_id], names[text])
+    prints = stage(map_texts(keyed.withColumnRenamed(names[doc_id], "id"), ["_k1", "_k2", "id"], names[text],
+                             partial(_fingerprints, shingle), "fp bigint"), "fingerprints")
+    first = F.struct(F.col("id").isNull().alias("late"), "id", "_k1", "_k2")
+    classes = stage(prints.groupBy("fp").agg(F.min(first).alias("least")), "classes")
+    kept = _rooted(classes, distance).groupBy("root").agg(F.min("least").alias("least")).select("least._k1", "least._k2")
+    once = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy("_k1"))
+    left = keyed.join(stage(kept, "kept"), ["_k1", "_k2"], "left_semi").withColumn("_n", once).where("_n = 1")
+    return left.select(*given.columns).toDF(*docs.columns)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import partial
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from creditloom.llm.linear import platt, sigmoid
 
 #: Character classes of a byte: lower case and non-ASCII, upper case, digit, symbol, exclamation, other mark, space.
 KINDS = 7
-SHAPES = KINDS + 7
+SHAPES = KINDS + 9
 #: Own shape, the line before, the line after, and two that say whether there is none.
 FEATURES = 3 * SHAPES + 3
 
@@ -44,7 +45,7 @@ _KIND = _kinds()
 
 def line_shapes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shape of every line, its length in characters of UTF-8, and the number of lines of each text (one at least)."""
-    lengths, repeats, ends, counts, encoded = [], [], [], [], []
+    lengths, repeats, ends, counts, encoded, stutter, variety = [], [], [], [], [], [], []
     for text in texts:
         lines = (text or "").encode("utf-8", "replace").split(b"\n")
         seen: dict[bytes, int] = {}
@@ -54,6 +55,10 @@ def line_shapes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
             repeats.append(times - 1 if key else 0)
             ends.append(key[-1:] in (b".", b"!", b"?", b":", b";", b'"'))
             lengths.append(len(line))
+            words = key.split()
+            n = max(1, len(words))
+            stutter.append(sum(map(eq, words, words[1:])) / n)
+            variety.append(len(set(words)) / n)
         counts.append(len(lines))
         encoded += lines
     size = np.array(lengths, dtype=np.int64)
@@ -67,6 +72,7 @@ def line_shapes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     more = np.stack([
         np.log1p(size) / 8, size == 0, np.minimum(repeats, 3) / 3, ends,
         np.minimum((total - table[:, 6]) / words, 20) / 10, np.minimum(marks / words, 2), share[:, 1] > 0.6,
+        stutter, variety,
     ], axis=1)
     return np.hstack([share * 3, more]), size, np.array(counts, dtype=np.int64)
 

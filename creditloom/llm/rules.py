@@ -22,7 +22,7 @@ SPAN, SYMBOLS = 8, "#*$%&|<>"
 #: Quartile distances from the median to the fence, and the smallest group with limits of its own.
 FENCE, SMALLEST = 6, 50
 #: What every group is allowed beyond its fence, by measure, in the measure's unit.
-SLACK = {"length": 200, "symbols": 100, "lines": 150, "repeats": 150}
+SLACK = {"length": 200, "symbols": 100, "lines": 300, "repeats": 300}
 
 
 def _words(text: Column) -> Column:

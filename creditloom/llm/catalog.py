@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from creditloom.llm import langid, mixing, packing, pii, quality, rules, simhash, substrings, tokens, tree_search
+from creditloom.llm import checks, langid, mixing, packing, pii, quality, rules, simhash, substrings, tokens, tree_search
 from creditloom.llm.common import remainder, stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,7 +57,7 @@ def op3_cached_token_counts(spark, sf):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
-@query("op4_adaptive_rules")
+@query("op4_adaptive_rules", checks.ADAPTIVE_RULES)
 def op4_adaptive_rules(spark, sf):
     """Measures of every whole text and whether it passes its group's limits."""
     return rules.judged(_documents(spark, sf))
@@ -76,13 +76,13 @@ def op6_personal_data(spark, sf):
     return pii.find_spans(docs, pii.train(docs), ["doc_id"])
 
 
-@query("op7_temperature_mix")
+@query("op7_temperature_mix", checks.TEMPERATURE_MIX)
 def op7_temperature_mix(spark, sf):
     """All documents mixed by source, words as tokens."""
     return mixing.mix(_documents(spark, sf).select("doc_id", "source", mixing.word_count().alias("tokens")))
 
 
-@query("op9_repeated_spans")
+@query("op9_repeated_spans", checks.REPEATED_SPANS)
 def op9_repeated_spans(spark, sf):
     """Words left of every whole text when windows of 20 words are kept where they start first."""
     kept = substrings.dedup_spans(_documents(spark, sf))

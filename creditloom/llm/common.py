@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from creditloom.session import checkpoint_folder
+
 #: Words of the corpus contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(WORD).findall
@@ -20,19 +21,8 @@ find_words = re.compile(WORD).findall
 SLICE_BYTES = 2 << 20
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset and the master is local."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="creditloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -91,8 +91,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens:
     quotas = (weighted.withColumn("_one", F.lit(1)).join(F.broadcast(least), "_one")
               .select("source", F.col("tokens").alias("own"), "documents", F.round("weight", 9).alias("weight"), quota.alias("quota"),
                       F.greatest(F.lit(1), F.floor(F.col("budget") / MIX_TOKENS)).cast("bigint").alias("mix_blocks")))
-    planned = (quotas.withColumn("full", F.floor(F.col("quota") / F.col("own")).cast("bigint"))
-               .withColumn("blocks", F.greatest(F.lit(1), F.floor(F.col("documents") / BLOCK_DOCUMENTS)).cast("bigint")))
+    planned = (quotas.withColumn("full", F.expr("quota div own"))
+               .withColumn("blocks", F.greatest(F.lit(1), F.expr(f"documents div {BLOCK_DOCUMENTS}"))))
     same = F.col("r.source").eqNullSafe(F.col("q.source"))
     dealt = (rows.alias("r").join(planned.alias("q"), same)
              .select("doc_id", "r.source", "tokens", "own", "quota", "full", "mix_blocks", "weight",
@@ -108,7 +108,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens:
     on = F.col("l.source").eqNullSafe(F.col("s.source")) & (F.col("l.pass") == F.col("s.pass")) & (F.col("l.home") == F.col("s.home"))
     placed = local.alias("l").join(starts.alias("s"), on).withColumn("_at", F.col("l.pass") * F.col("own") + F.col("start") + F.col("_inside"))
     taken = placed.where(F.col("_at") < F.col("quota"))
-    block = F.least(F.floor(F.col("_at") * F.col("mix_blocks") / F.col("quota")).cast("bigint"), F.col("mix_blocks") - 1)
+    block = F.least(F.expr("(_at * mix_blocks) div quota"), F.col("mix_blocks") - 1)
     return taken.select(F.col("doc_id").alias(doc_id), F.col("l.source").alias(source), F.col("l.pass").cast("int").alias("pass"),
                         "tokens", block.alias("block"), "weight")
 

@@ -23,9 +23,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from creditloom.llm.common import SLICE_BYTES, find_words, map_texts, slices, stage
+from creditloom.llm.common import find_words, map_texts, slices, stage
 
 SPAN, SEED = 20, 8
+#: Bytes of text hashed at once: each takes some 60 bytes of memory.
+PART_BYTES = 1 << 20
 _NO_ID = (1 << 63) - 1
 
 
@@ -138,7 +140,7 @@ def _reaches(span: int, batches):
     """
     names = ["k1", "k2", "id", "mark", "first", "spans", "s1", "s2"]
     for batch in batches:
-        for part in slices(batch, 0, SLICE_BYTES):
+        for part in slices(batch, 0, PART_BYTES):
             words = Words(part.column(0).to_pylist(), 2)
             lists = part.column(3)
             row = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
@@ -173,7 +175,7 @@ def cut(text: str, ranges: list[tuple[int, int]]) -> tuple[list[str], int]:
 
 def _cut_batches(batches):
     for batch in batches:
-        for part in slices(batch, 0, SLICE_BYTES):
+        for part in slices(batch, 0, PART_BYTES):
             removed, texts = [], []
             for text, ranges in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 words, n = cut(text, [(r["first"], r["last"]) for r in ranges or []])
@@ -183,35 +185,36 @@ def _cut_batches(batches):
                                              names=["doc_id", "n_words", "copy", "n_removed", "kept"])
 
 
-def _contents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, body, n_words, digest, id, mark) of every row; equal sequences of words have equal digests."""
+def _bodies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, body, id, mark) of every row: a null text is empty, a null id the largest; a hash tells texts of one id apart."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = F.filter(F.split(body, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    read = docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"), words.alias("words"))
-    made = read.select("doc_id", "body", F.size("words").cast("bigint").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("digest"))
-    number = F.conv(F.substring("digest", 1, 15), 16, 10).cast("bigint")
-    return made.withColumn("id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID))).withColumn("mark", number)
+    return docs.select(F.col(doc_id).alias("doc_id"), body.alias("body"), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NO_ID)).alias("id"),
+                       F.xxhash64(body).alias("mark"))
 
 
-def repeated_ranges(docs: DataFrame, doc_id: str, text: str, span: int = SPAN, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Staged rows of all documents, the first copy (digest, id) of each content, and the word ranges to cut of those.
+def repeated_ranges(docs: DataFrame, doc_id: str, text: str, span: int = SPAN, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(id, mark, n_words, copy) of all documents, staged, and the word ranges to cut of those that have any.
 
-    The order of documents is by id, then by content where ids repeat, null ids last.
+    ``copy``: an earlier document has the same words, ``span`` at least. Documents are ordered by id, then hash.
     """
     if not 0 < seed <= span:
         raise ValueError("a seed has at least one word and at most a span's")
-    given = _contents(docs, doc_id, text)
-    rows = stage(given.select("doc_id", "n_words", "digest", "id", "mark"), "rows")
-    firsts = rows.groupBy("digest").agg(F.min("id").alias("id"))
-    long_enough = given.where(F.col("n_words") >= span).select("id", "mark", "digest", "body")
-    seeded = map_texts(long_enough, ["id", "mark", "digest"], "body", partial(_seeds, span, seed),
-                       "keys array<bigint>, first array<int>, spans array<int>")
-    found = stage(seeded.join(firsts, ["digest", "id"], "left_semi").drop("digest"), "anchors")
+    given = _bodies(docs, doc_id, text)
+    words = F.filter(F.split("body", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    read = given.select("id", "mark", words.alias("words"))
+    rows = stage(read.select("id", "mark", F.size("words").cast("bigint").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("digest"))
+                 .distinct(), "rows")  # rows that share id and text are one document
+    firsts = rows.groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("first"))
+    known = rows.join(firsts, "digest").select("id", "mark", "n_words", (F.struct("id", "mark") != F.col("first")).alias("again"))
+    known = stage(known.select("id", "mark", "n_words", (F.col("again") & (F.col("n_words") >= span)).alias("copy")), "documents")
+    seeded = map_texts(given, ["id", "mark"], "body", partial(_seeds, span, seed), "keys array<bigint>, first array<int>, spans array<int>", PART_BYTES)
+    own = known.where(~F.col("copy") & (F.col("n_words") >= span)).select("id", "mark")
+    found = stage(seeded.where(F.size("keys") > 0).join(own, ["id", "mark"], "left_semi"), "anchors")
     each = found.select("id", "mark", F.explode(F.arrays_zip("keys", "first", "spans")).alias("a")).select("id", "mark", "a.*")
-    twice = each.groupBy("keys").agg(F.count("*").alias("n")).where("n > 1").select("keys")
+    # staged, so that the join's two sides are plain shuffles, whose large partitions Spark deals out
+    twice = stage(each.groupBy("keys").agg(F.count("*").alias("n")).where("n > 1").select("keys"), "keys")
     seeds = each.join(twice, "keys").groupBy("id", "mark").agg(F.collect_set(F.struct("first", "spans")).alias("seeds"))  # one document's
-    met = long_enough.join(stage(seeds, "seeds"), ["id", "mark"]).select("body", "id", "mark", "seeds")
-    # rows that repeat an id and a text stand for one document: classes only look at the least place
+    met = given.join(stage(seeds, "seeds"), ["id", "mark"]).select("body", "id", "mark", "seeds")
     reach = stage(met.mapInArrow(partial(_reaches, span), "k1 bigint, k2 bigint, id bigint, mark bigint, first int, spans int,"
                                  " s1 array<bigint>, s2 array<bigint>"), "reaches")
     place = F.struct("id", "mark", "first")
@@ -221,24 +224,21 @@ def repeated_ranges(docs: DataFrame, doc_id: str, text: str, span: int = SPAN, s
     led = reach.where(F.size("s1") > 0).join(leads, ["k1", "k2"]).where(place == F.col("lead"))
     single = stage(led.select("id", "mark", "first", F.posexplode(F.arrays_zip("s1", "s2")).alias("at", "s"))
                    .select("id", "mark", (F.col("first") + F.col("at")).alias("first"), "s.s1", "s.s2"), "spans")
-    least = single.groupBy("s1", "s2").agg(F.min(place).alias("lead"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", "lead")
+    least = stage(single.groupBy("s1", "s2").agg(F.min(place).alias("lead"), F.count("*").alias("n")).where("n > 1").select("s1", "s2", "lead"), "leads")
     again = single.join(least, ["s1", "s2"]).where(place != F.col("lead")).select("id", "mark", "first", (F.col("first") + span).alias("last"))
-    ranges = later.union(again).groupBy("id", "mark").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))  # one document's
-    return rows, firsts, ranges
+    return known, later.union(again).groupBy("id", "mark").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))  # one document's
 
 
 def dedup_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, seed: int = SEED) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row; ``kept`` has the words left, joined by blanks.
 
     A word goes if a window of ``span`` words that covers it starts earlier as well: in a smaller doc_id, or in the same
-    document before. A null text has no words. Null ids come last; of rows that share an id those with the smaller digest
-    come first, and rows that share id and words are one document. No documents give no rows.
+    document before. A null text has no words. Null ids come last; of rows that share an id the one whose text has the
+    smaller hash comes first, and rows that share id and text are one document. No documents give no rows.
     """
-    rows, firsts, ranges = repeated_ranges(docs, doc_id, text, span, seed)
-    copy = (F.col("id") != F.col("first_id")) & (F.col("n_words") >= span)
-    fate = (rows.select("id", "mark", "digest", "n_words").distinct().join(firsts.withColumnRenamed("id", "first_id"), "digest")
-            .select("id", "mark", copy.alias("copy")).join(stage(ranges, "ranges"), ["id", "mark"], "left"))
-    given = _contents(docs, doc_id, text).join(fate, ["id", "mark"])
+    known, ranges = repeated_ranges(docs, doc_id, text, span, seed)
+    fate = known.join(stage(ranges, "ranges"), ["id", "mark"], "left")
+    given = _bodies(docs, doc_id, text).join(fate, ["id", "mark"])
     body = F.when(F.col("copy"), F.lit("")).otherwise(F.col("body"))
     done = given.select(body.alias("body"), "ranges", "doc_id", "n_words", "copy").mapInArrow(
         _cut_batches, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_words bigint, copy boolean, n_removed bigint, kept string")

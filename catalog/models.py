@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from catalog.base import f32, f32_all, query, sql_f32, table
 from catalog.credit_tables import credit_table
 from creditloom.functions.text import with_text
@@ -10,6 +12,8 @@ from creditloom.operators.aggregate import Subset, aggregate, parse_spec
 from creditloom.operators.folds import stratified_folds, with_class_weight
 from creditloom.operators.neighbours import neighbour_mean
 from creditloom.plans import application, modelling, specs
+from creditloom.session import checkpoint_folder
+from creditloom.sources.models import Scorer, load_scorer, save_scorer
 from pyspark.sql import functions as F
 
 K = 50
@@ -129,6 +133,32 @@ def svm_calibrated(spark, sf):
     return run.report
 
 
+def _same_after_reading(spark, scorer, rows):
+    """Rows whose score or class the model read again gives otherwise, with how many there are."""
+    folder = f"{checkpoint_folder(spark)}/models-{uuid.uuid4().hex}"
+    save_scorer(spark, scorer, folder)
+    first, again = scorer.score(rows, ["c_custkey"]), load_scorer(spark, folder).score(rows, ["c_custkey"])
+    both = first.join(again.toDF("c_custkey", *[f"{c}_again" for c in again.columns[1:]]), "c_custkey")
+    return both.select("c_custkey", ((F.col("score") == F.col("score_again")) & (F.col("predicted") == F.col("predicted_again"))).alias("same"))
+
+
+@query("model_kept_logistic", "select c_custkey, true as same from customer")
+def model_kept_logistic(spark, sf):
+    """Fit, save, load, score: the scores of the model read again are those of the fitted one."""
+    train, test = _sets(spark, sf)
+    run = modelling.run(train, test, "logistic", "c_custkey", "target", select=False, draws=1, columns=_FEATURES)
+    return _same_after_reading(spark, run.scorer, test)
+
+
+@query("model_kept_svm", "select c_custkey, true as same from customer")
+def model_kept_svm(spark, sf):
+    """The same for a calibrated model: margins and calibration curves of all parts."""
+    train, test = _sets(spark, sf)
+    rows = linear.prepare(train, scaler := linear.Scaler.fit(train, _FEATURES), "c_custkey", "target")
+    model = linear.Calibrated.fit(rows, "c_custkey", lambda: linear.svm(0.01), k=2)
+    return _same_after_reading(spark, Scorer(scaler, model, 0.1), test)
+
+
 @query("svm_sigmoid")
 def svm_sigmoid(spark, sf):
     """Sigmoid calibration of one strength, scores of all rows."""

@@ -7,14 +7,14 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from creditloom.session import materialise
 
 #: Correlations computed in one aggregate; more columns take more passes, not wider state.
 PAIRS_PER_PASS = 300
-#: Cells a contingency table may have before the columns are refused as categories.
-MAX_CELLS = 100_000
+#: Grid cells of a table that the phi_K integral takes at once.
+BLOCK_CELLS = 100_000
 
 
 def pearson_pairs(df: DataFrame, columns: Sequence[str], against: str | None = None) -> DataFrame:
@@ -51,15 +51,23 @@ def equal_width_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> D
     return df
 
 
-def contingency(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(column_a, column_b, value_a, value_b, n)`` of all pairs from one pass over the rows."""
+def contingency(df: DataFrame, pairs: Sequence[tuple[str, str]], ordered: bool = False) -> DataFrame:
+    """``(column_a, column_b, value_a, value_b, n)`` of all pairs from one pass over the rows.
+
+    ``ordered`` adds ``place_a`` and ``place_b``: the value of a numeric or boolean column as a number, missing for others.
+    """
+    def place(c: str) -> Column:
+        kind = df.schema[c].dataType
+        return F.col(c).cast("double") if isinstance(kind, (T.NumericType, T.BooleanType)) else F.lit(None).cast("double")
+
     items = F.explode(F.array(*[
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                 F.col(a).cast("string").alias("value_a"), F.col(b).cast("string").alias("value_b"))
+                 F.col(a).cast("string").alias("value_a"), F.col(b).cast("string").alias("value_b"),
+                 *([place(a).alias("place_a"), place(b).alias("place_b")] if ordered else []))
         for a, b in pairs]))
     cells = df.select(items.alias("p")).select("p.*")
     return (cells.where(F.col("value_a").isNotNull() & F.col("value_b").isNotNull())
-            .groupBy("column_a", "column_b", "value_a", "value_b").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy(*cells.columns).agg(F.count(F.lit(1)).alias("n")))
 
 
 def chi_square(tables: DataFrame) -> DataFrame:
@@ -87,17 +95,20 @@ def phik_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], numeric: Sequenc
                bins: int = 10) -> DataFrame:
     """phi_K of each pair (Baak et al., arXiv:1811.11440); numeric columns are cut in equal-width bins.
 
-    Spark counts the tables; each table (checked to be small) is then inverted on its
-    own by the bivariate-normal integral, one task per pair.
+    Spark counts the tables; each table is then inverted on its own by the bivariate-normal integral, one task per pair,
+    in blocks of ``BLOCK_CELLS`` grid cells. Numbers (bins, numeric codes) are ordered as numbers, others by name.
     """
-    tables = materialise(contingency(equal_width_bins(df, list(numeric), bins), pairs))
-    largest = tables.groupBy("column_a", "column_b").agg(
-        (F.count_distinct("value_a") * F.count_distinct("value_b")).alias("cells")).agg(F.max("cells")).first()[0]
-    if largest and largest > MAX_CELLS:
-        raise ValueError(f"a pair has {largest} cells; bin its columns first")
+    tables = materialise(contingency(equal_width_bins(df, list(numeric), bins), pairs, ordered=True))
+
+    def axis(values: pd.Series, places: pd.Series) -> np.ndarray:
+        """Number of each row's category in order."""
+        order = {v: i for i, (_, v) in enumerate(sorted(set(zip(places.fillna(np.inf), values))))}
+        return values.map(order).to_numpy()
 
     def invert(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        n = cells.pivot_table(index="value_a", columns="value_b", values="n", fill_value=0).to_numpy(float)
+        a, b = axis(cells["value_a"], cells["place_a"]), axis(cells["value_b"], cells["place_b"])
+        n = np.zeros((a.max() + 1, b.max() + 1))
+        np.add.at(n, (a, b), cells["n"].to_numpy(float))
         return pd.DataFrame({"column_a": [key[0]], "column_b": [key[1]], "phik": [phik_of_table(n)]})
 
     return tables.groupBy("column_a", "column_b").applyInPandas(
@@ -124,8 +135,11 @@ def _normal_cells(a: np.ndarray, b: np.ndarray, rho: float) -> np.ndarray:
     h, k = np.clip(a, -40, 40)[:, None, None], np.clip(b, -40, 40)[None, :, None]
     theta = np.arcsin(rho) * (_NODES + 1) / 2  # rho = sin(theta) keeps the integrand smooth
     s, c2 = np.sin(theta), np.cos(theta) ** 2
-    inside = np.exp(-(h * h - 2 * h * k * s + k * k) / (2 * c2))
-    base = base + (inside * _WEIGHTS).sum(axis=2) * np.arcsin(rho) / 2 / (2 * np.pi)
+    step = max(1, BLOCK_CELLS // len(b))
+    for start in range(0, len(a), step):
+        part = h[start:start + step]
+        inside = np.exp(-(part * part - 2 * part * k * s + k * k) / (2 * c2))
+        base[start:start + step] += (inside * _WEIGHTS).sum(axis=2) * np.arcsin(rho) / 2 / (2 * np.pi)
     return np.diff(np.diff(base, axis=0), axis=1)
 
 
@@ -145,8 +159,8 @@ def phik_of_table(n: np.ndarray) -> float | None:
     expected = np.outer(p_a, p_b) * total
     chi2 = ((n - expected) ** 2 / expected).sum()
     # pedestal: statistical noise expected of an independent table
-    dof_eff = (n.shape[0] - 1) * (n.shape[1] - 1)
-    pedestal = dof_eff + 1.5 * np.sqrt(2 * dof_eff)
+    dof = (n.shape[0] - 1) * (n.shape[1] - 1)  # of the rows and columns that are not empty
+    pedestal = dof + 1.5 * np.sqrt(2 * dof)
     a = np.concatenate(([-np.inf], _normal_quantile(np.cumsum(p_a)[:-1]), [np.inf]))
     b = np.concatenate(([-np.inf], _normal_quantile(np.cumsum(p_b)[:-1]), [np.inf]))
 

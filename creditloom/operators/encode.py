@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from creditloom.functions.text import coded, name, with_text
 from creditloom.operators.aggregate import Spec, grouped, spec_names, spec_text
 from creditloom.operators.ordered import with_positions
-from creditloom.operators.slices import Order, as_orders, order_struct
+from creditloom.operators.slices import Order, order_struct
 from creditloom.session import materialise
 
 #: A vocabulary up to this many rows is broadcast.
@@ -45,20 +45,12 @@ def lookup(df: DataFrame, vocabulary: DataFrame, on: Sequence[str], rows: int |
 def first_seen_codes(df: DataFrame, columns: Sequence[str], order_by: Sequence[str | Order]) -> DataFrame:
     """Vocabulary ``(column, value, code)``: categories numbered from 1 as they first appear.
 
-    The first pass finds the smallest leading order value per category with plain
-    numeric state (hash aggregation, combined on the map side); only rows that reach
-    it are compared on the full order afterwards.
+    One pass: the least place in the order of each category, combined on the map side.
     """
-    order_by = as_orders(order_by)
-    lead = order_by[0]
-    at = -F.col(lead.column) if lead.descending else F.col(lead.column)
+    at = order_struct(order_by, df.schema)
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
-    used = sorted({o.column for o in order_by})
-    long = df.select(*used, at.alias("_lead"), pairs.alias("_p")).select(*used, "_lead", "_p.column", "_p.value")
-    long = long.where(F.col("value").isNotNull())
-    reached = materialise(long.groupBy("column", "value").agg(F.min("_lead").alias("_first")))
-    first = lookup(long, reached, ["column", "value"]).where(F.col("_lead").eqNullSafe(F.col("_first")))
-    places = materialise(first.groupBy("column", "value").agg(F.min(order_struct(order_by)).alias("_at")))
+    long = df.select(at.alias("_at"), pairs.alias("_p")).select("_at", "_p.column", "_p.value").where(F.col("value").isNotNull())
+    places = materialise(long.groupBy("column", "value").agg(F.min("_at").alias("_at")))
     numbered = with_positions(places, ["column"], ["_at", "value"], position="code")
     return numbered.select("column", "value", F.col("code").cast("int").alias("code"))
 

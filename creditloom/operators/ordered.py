@@ -6,10 +6,9 @@ group, because row order is not a property of a DataFrame.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from creditloom.operators.slices import SLICE, Order, SlicePlan, as_orders, plan_slices, sort_columns
 
@@ -38,28 +37,17 @@ def running_totals(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     names = [*sums, *totals]
     parts = (plan.only_hot(sliced).groupBy(*plan.keys, SLICE)
              .agg(*[F.sum(c).alias(n) for n, c in {**sums, **totals}.items()]))
-    groups: dict[tuple, list] = defaultdict(list)
-    for r in parts.collect():  # one row per slice of an oversized group
-        groups[tuple(r[k] for k in plan.keys)].append(r)
-    lines = []
-    for g, rows in groups.items():
-        rows.sort(key=lambda r: r[SLICE])
-        before = {n: 0 for n in sums}
-        whole = {n: sum(r[n] or 0 for r in rows) for n in totals}
-        for r in rows:
-            lines.append((*g, r[SLICE], *[before[n] for n in sums], *[whole[n] for n in totals]))
-            for n in sums:
-                before[n] += r[n] or 0
-    schema = T.StructType([*[df.schema[k] for k in plan.keys], T.StructField(SLICE, T.IntegerType()),
-                           *[T.StructField(f"_o_{n}", parts.schema[n].dataType) for n in names]])
-    # sums of doubles start as the integer 0
-    lines = [tuple(float(v) if f.dataType == T.DoubleType() and v is not None else v
-                   for v, f in zip(line, schema.fields)) for line in lines]
-    offsets = df.sparkSession.createDataFrame(lines, schema)
+    kinds = {n: parts.schema[n].dataType for n in names}
+    group = Window.partitionBy(*(plan.keys or [F.lit(0)]))
+    before = group.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per slice of an oversized group; a group that was not cut has none
+    offsets = parts.select(*plan.keys, SLICE, *[F.sum(n).over(before).cast(kinds[n]).alias(f"_o_{n}") for n in sums],
+                           *[F.sum(n).over(group).cast(kinds[n]).alias(f"_o_{n}") for n in totals])
     out = plan.join_bounded(sliced, offsets, [SLICE])
     for name, c in sums.items():
-        inside = F.sum(c).over(plan.window().rowsBetween(*_FORWARD))
-        out = out.withColumn(name, F.coalesce(F.col(f"_o_{name}"), F.lit(0)) + inside)
+        inside, offset = F.sum(c).over(plan.window().rowsBetween(*_FORWARD)), F.col(f"_o_{name}")
+        # a sum of missing values only is missing, in the slice and before it alike
+        out = out.withColumn(name, F.coalesce((offset + inside).cast(kinds[name]), offset, inside))
     for name, c in totals.items():
         # groups that were not cut have no offsets; there the slice is the whole group
         out = out.withColumn(name, F.coalesce(F.col(f"_o_{name}"), F.sum(c).over(plan.group())))

@@ -13,14 +13,15 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SLICE = "_slice"
 
-#: A group up to this many rows is always left whole.
-MIN_ROWS_PER_SLICE = 1_000_000
+#: A group up to this many rows is left whole, whatever the table's size.
+ROWS_PER_SLICE = 1_000_000
 #: Sampled rows per slice; more gives more even slices.
 SAMPLE_PER_SLICE = 40
 
@@ -49,16 +50,49 @@ def sort_columns(order_by: Sequence[str | Order]) -> list[Column]:
             for o in as_orders(order_by)]
 
 
-def order_struct(order_by: Sequence[str | Order]) -> Column:
+def ascending(schema: T.StructType, order: Order) -> Column:
+    """The ordering column as a value whose ascending order is the wanted one; missing stays missing.
+
+    Descending integers are complemented bit by bit (nothing overflows), other numbers negated, times and dates counted
+    first; strings become the complement of their bytes with an end mark, so that a longer string comes before its prefix.
+    """
+    c, kind = F.col(order.column), schema[order.column].dataType
+    if not order.descending:
+        return c
+    if isinstance(kind, T.BooleanType):
+        return ~c
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(c)
+    if isinstance(kind, T.DateType):
+        return F.bitwise_not(F.unix_date(c))
+    if isinstance(kind, T.TimestampType):
+        return F.bitwise_not(F.unix_micros(c))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.bitwise_not(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(F.isnan(c), F.lit(float("-inf"))).otherwise(-c)  # NaN counts as the largest number
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    return -c
+
+
+def order_struct(order_by: Sequence[str | Order], schema: T.StructType) -> Column:
     """The ordering as one comparable value: ascending, missing last."""
     fields = []
     for i, o in enumerate(as_orders(order_by)):
-        c = F.col(o.column)
+        c = ascending(schema, o)
         fields.append(c.isNull().alias(f"n{i}"))
-        fields.append((-c if o.descending else c).alias(f"v{i}"))
+        fields.append(c.alias(f"v{i}"))
     return F.struct(*fields)
 
 
+def null_safe_join(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` where a missing key equals a missing key; ``df``'s columns, then the others of ``small``."""
+    renamed = small.select(*[F.col(k).alias(f"_j{i}") for i, k in enumerate(keys)], *[c for c in small.columns if c not in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_j{i}")) for i, k in enumerate(keys)])
+    return df.join(renamed, same, how).drop(*[f"_j{i}" for i in range(len(keys))])
+
+
 @dataclass(frozen=True)
 class SlicePlan:
     """Which groups are cut and where."""
@@ -97,8 +131,8 @@ class SlicePlan:
         # to the one block to look into. The row's place in the order is bound as a lambda
         # variable, so that it is built once per row and not once per cut.
         lead = as_orders(self.order_by)[0]
-        value = -F.col(lead.column) if lead.descending else F.col(lead.column)
-        coarse = F.transform(F.array(value if self.lead_only else order_struct(self.order_by)), lambda here: F.struct(
+        value = ascending(df.schema, lead)
+        coarse = F.transform(F.array(value if self.lead_only else order_struct(self.order_by, df.schema)), lambda here: F.struct(
             here.alias("here"), F.size(F.filter(blocks, lambda cut: cut <= here)).alias("full")))
         place = F.transform(coarse, lambda at: at["full"] * block + F.size(F.filter(
             F.slice(cuts, at["full"] * block + 1, F.lit(block)), lambda cut: cut <= at["here"])))
@@ -113,8 +147,7 @@ class SlicePlan:
         """Left join with a table that has at most one row per slice (size is bounded by the plan)."""
         on = [*self.keys, *extra]
         if on:
-            joined = df.join(F.broadcast(small), on, "left")
-            return joined.select(*df.columns, *[c for c in small.columns if c not in on])
+            return null_safe_join(df, F.broadcast(small), on)
         # the whole table is one group: a single row of cuts under a constant key
         return (df.withColumn("_all", F.lit(0))
                 .join(F.broadcast(small.withColumn("_all", F.lit(0))), "_all", "left").drop("_all"))
@@ -123,13 +156,7 @@ class SlicePlan:
         """Rows of the groups that were cut."""
         if not self.keys:
             return df
-        return df.join(F.broadcast(self.cuts.select(*self.keys)), list(self.keys), "left_semi")
-
-
-def rows_limit(df: DataFrame, rows: int) -> int:
-    """Largest group one task should take: a share of an even partition, but never tiny."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_ROWS_PER_SLICE, ceil(2 * rows / max(partitions, 1)))
+        return null_safe_join(df, F.broadcast(self.cuts.select(*self.keys)), self.keys, "left_semi")
 
 
 def plan_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Order],
@@ -149,7 +176,7 @@ def plan_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Ord
                                   F.coalesce(F.max("_size"), F.lit(0))).first()
     else:
         rows = largest = df.count()
-    limit = limit or rows_limit(df, rows)
+    limit = limit or ROWS_PER_SLICE
     if largest <= limit:
         return SlicePlan(keys, order_by, rows, largest, None)
 
@@ -158,13 +185,13 @@ def plan_slices(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Ord
         groups = {tuple(r[k] for k in keys): r["_size"] for r in hot.collect()}
         hot_keys = spark.createDataFrame([(*g,) for g in groups],
                                          T.StructType([df.schema[k] for k in keys]))
-        rows_of_hot = df.join(F.broadcast(hot_keys), list(keys), "left_semi")
+        rows_of_hot = null_safe_join(df, F.broadcast(hot_keys), keys, "left_semi")
     else:
         groups = {(): rows}
         rows_of_hot = df
     wanted = {g: ceil(size / limit) for g, size in groups.items()}
     fraction = min(1.0, SAMPLE_PER_SLICE * sum(wanted.values()) / sum(groups.values()))
-    sample = (rows_of_hot.select(*keys, order_struct(order_by).alias("_at"))
+    sample = (rows_of_hot.select(*keys, order_struct(order_by, df.schema).alias("_at"))
               .sample(fraction=fraction, seed=seed).distinct())
 
     seen: dict[tuple, list] = defaultdict(list)

@@ -27,18 +27,25 @@ def build_session(app: str = "creditloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage in the shared checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Only a local master
-    may fall back to a temporary folder: executors of a cluster could not read it.
+    Only where it is unset and the master is local a temporary one is made, as in tests:
+    executors of a cluster could not read it.
     """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can read")
+        folder = tempfile.mkdtemp(prefix="creditloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage in the shared checkpoint folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can read")
-            shared = tempfile.mkdtemp(prefix="creditloom-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)

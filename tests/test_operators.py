@@ -12,7 +12,7 @@ from creditloom.operators.association import pearson_pairs, phik_of_table
 from creditloom.operators.clean import constant_columns, narrow_types
 from creditloom.operators.encode import apply_codes, first_seen_codes, response_apply, response_fit
 from creditloom.operators.ewm import ewm, ewm_last
-from creditloom.operators.folds import class_weights, stratified_folds
+from creditloom.operators.folds import class_weights, stratified_folds, with_class_weight
 from creditloom.operators.linear import Scaler, draw
 from creditloom.operators.metrics import auc, j_threshold
 from creditloom.operators.neighbours import neighbour_mean
@@ -238,7 +238,14 @@ def test_folds_are_even_and_stable(spark, limit):
     a = stratified_folds(df, ["i"], "y", 4, 7, limit=limit)
     assert sorted(r["count"] for r in a.groupBy("y", "fold").count().collect()) == [25] * 4 + [225] * 4
     assert rows(a, "i") == rows(stratified_folds(df.repartition(7), ["i"], "y", 4, 7), "i")
-    assert class_weights(df, "y") == {0: 1000 / 1800, 1: 5.0}
+    assert {r.y: r.weight for r in class_weights(df, "y").collect()} == {0: 1000 / 1800, 1: 5.0}
+
+
+def test_many_classes_all_get_weights(spark):
+    df = spark.range(4500).select((F.col("id") % 1500).alias("y")).union(spark.createDataFrame([(None,)], "y long"))
+    weighted = with_class_weight(df, "y")
+    assert weighted.where("weight is null").count() == 1 and weighted.count() == 4501
+    assert {round(r.weight, 9) for r in weighted.select("weight").distinct().collect() if r.weight} == {1.0}
 
 
 def brute(ref, query, k, exclude=False):
@@ -325,3 +332,50 @@ def test_cross_ratio_widths_and_name_rule():
                "card": credit._CARD_NAMES}
     assert len(merge.cross_ratios(columns)) == 86
     assert pos.applicant_spec(["SK_ID_PREV", "A_MEAN", "B_MAX"]) == [("A_MEAN", ("mean", "sum", "max")), ("B_MAX", ("mean",))]
+
+
+ORDERED = "k long, i long, ts timestamp, day date, name string, price decimal(18,2), flag boolean, part double, wall timestamp_ntz"
+
+
+@pytest.fixture(scope="module")
+def typed(spark):
+    """One group of 900 rows under a missing key, a smaller one, and missing order values."""
+    base = spark.range(1000).select(
+        F.when(F.col("id") >= 900, F.lit(1)).cast("long").alias("k"), F.col("id").alias("i"),
+        F.expr("case when id % 11 = 0 then null else timestamp_seconds(id * 7919 % 1000 * 3600) end").alias("ts"),
+        F.expr("date_add(date'1969-06-01', cast(id * 31 % 400 as int))").alias("day"),
+        F.expr("case when id % 13 = 0 then null else repeat(chr(cast(97 + id % 5 as int)), cast(id % 4 as int)) end").alias("name"),
+        F.expr("cast(case when id % 3 = 0 then null else id * 12345678901.25 end as decimal(18,2))").alias("price"),
+        F.expr("id % 2 = 0").alias("flag"), F.expr("case when id % 17 = 0 then double('NaN') else id * 37 % 100 - 50.0 end").alias("part"))
+    return base.withColumn("wall", F.expr("cast(day as timestamp_ntz) + make_interval(0, 0, 0, 0, cast(i % 24 as int), 0, 0)")).cache()
+
+
+@pytest.mark.parametrize("column", ["ts", "day", "name", "price", "flag", "part", "wall", "i"])
+@pytest.mark.parametrize("sign", ["", "-"])
+def test_any_order_is_the_same_when_cut(spark, typed, column, sign):
+    order = [sign + column, "-i" if sign else "i"]
+    whole = with_positions(typed, ["k"], order)
+    cut = with_positions(typed, ["k"], order, limit=70)
+    plan = plan_slices(typed, ["k"], order, limit=70)
+    assert plan.hot and plan.assign(typed).where("k is null").groupBy("_slice").count().agg(F.max("count")).first()[0] < 450
+    assert {(r.i, r._pos, r._size) for r in whole.collect()} == {(r.i, r._pos, r._size) for r in cut.collect()}
+
+
+def test_running_sums_keep_type_and_missing_values_when_cut(spark, typed):
+    sums = {"s": F.col("price"), "n": F.col("i"), "never": F.lit(None).cast("decimal(10,1)")}
+    whole = running_totals(typed, ["k"], ["i"], sums, {"t": F.col("price")})
+    cut = running_totals(typed, ["k"], ["i"], sums, {"t": F.col("price")}, limit=50)
+    assert {c: t for c, t in whole.dtypes} == {c: t for c, t in cut.dtypes}
+    pick = lambda df: sorted((r.i, r.s, r.n, r.never, r.t) for r in df.collect())
+    assert pick(whole) == pick(cut)
+
+
+@pytest.mark.parametrize("limit, longest", [(None, 5000), (None, 150), (None, 10), (60, 10), (60, 150)])
+def test_smoothing_of_missing_keys_in_every_form(spark, typed, limit, longest):
+    rows_ = typed.withColumn("x", F.when(F.col("i") % 5 != 0, F.col("i").cast("double")))
+    got = ewm(rows_, ["k"], ["i"], ["x"], 0.3, position="place", limit=limit, longest_window=longest)
+    want = ewm(rows_.withColumn("k", F.coalesce("k", F.lit(-1))), ["k"], ["i"], ["x"], 0.3, position="place")
+    a, b = (df.select("i", "place", "EXP_x").orderBy("i").toPandas() for df in (got, want))
+    assert (a.place == b.place).all() and np.allclose(a.EXP_x, b.EXP_x, equal_nan=True)
+    last = ewm_last(rows_, ["k"], ["i"], ["x"], 0.3, limit=limit).collect()
+    assert len(last) == 2

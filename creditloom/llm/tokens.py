@@ -17,7 +17,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from creditloom.llm.common import map_texts, stage
@@ -175,12 +175,13 @@ def cached_token_counts(docs: DataFrame, cache_folder: str, vocabulary: str, doc
     """
     spark, version = docs.sparkSession, vocabulary_version(vocabulary)
     content = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("content"))
-    keyed = content.withColumn("digest", F.sha2("content", 256))
-    ids = stage(keyed.select("doc_id", "digest", F.octet_length("content").cast("bigint").alias("n_bytes")), "digests")
-    wanted = ids.groupBy("digest").agg(F.min("doc_id").alias("from_id"))
+    keyed = content.withColumns({"digest": F.sha2("content", 256), "row": F.xxhash64("doc_id", F.col("doc_id").isNull())})
+    ids = stage(keyed.select("doc_id", "digest", "row", F.octet_length("content").cast("bigint").alias("n_bytes")), "digests")
+    wanted = ids.groupBy("digest").agg(F.min("row").alias("row"))
     missing = wanted.join(_read_cache(spark, cache_folder, version), "digest", "left_anti")
-    same = (F.col("k.digest") == F.col("m.digest")) & F.col("k.doc_id").eqNullSafe(F.col("m.from_id"))
-    to_encode = keyed.alias("k").join(missing.alias("m"), same).select("k.digest", "k.content")
+    once = F.row_number().over(Window.partitionBy("digest", "row").orderBy("row"))  # rows that are equal
+    to_encode = (keyed.select("digest", "row", "content").join(stage(missing, "missing"), ["digest", "row"], "left_semi")
+                 .withColumn("n", once).where("n = 1").select("digest", "content"))
 
     def encode(texts: list) -> list:
         return [pa.array(count_tokens(vocabulary, texts), pa.int64())]

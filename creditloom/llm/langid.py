@@ -8,6 +8,7 @@ two short pieces of each.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import partial
 from itertools import combinations
@@ -38,7 +39,7 @@ FAMILIES = {
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 
 #: Size of the hashed trigram table, languages at most (the most frequent ones), and about how many texts train all.
-BUCKETS, LANGUAGES, TEXTS = 4096, 200, 3000
+BUCKETS, LANGUAGES, TEXTS = 4096, 200, 2000
 UNDETERMINED = "und"
 _SPACE, _END = 155, 0
 
@@ -134,33 +135,32 @@ class LanguageModel:
         return labels, scores
 
 
-def _binary(x: np.ndarray, positive: np.ndarray, probe: np.ndarray) -> tuple[np.ndarray, float, float, float]:
-    """An SVM on all rows; its sigmoid from an SVM that hasn't seen the ``probe`` rows."""
+def _binary(x: np.ndarray, positive: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+    """An SVM on ``rows``; its sigmoid from an SVM that hasn't seen every fifth of them."""
     y = np.where(positive, 1.0, -1.0)
-    w, b = linear_svm(x[~probe], y[~probe])
-    slope, shift = platt(x[probe] @ w + b, positive[probe])
-    w, b = linear_svm(x, y)
+    probe = rows[::5]
+    w, b = linear_svm(x, y, np.setdiff1d(rows, probe))
+    slope, shift = platt(np.array([x[r] @ w for r in probe]) + b, positive[probe])
+    w, b = linear_svm(x, y, rows)
     return w, b, slope, shift
 
 
 def fit(x: np.ndarray, labels: list[str]) -> LanguageModel:
-    """The model of trigram frequencies ``x`` and their languages; no rows give a model that says ``und``."""
+    """The model of trigram frequencies ``x`` (scaled in place) and their languages; no rows give a model that says ``und``."""
     languages = sorted(set(labels))
     of = [_FAMILY.get(code.lower().replace("_", "-").split("-")[0], code) for code in languages]
     families = sorted(set(of))
     member = [families.index(f) for f in of]
     pairs = [(i, j) for i, j in combinations(range(len(languages)), 2) if member[i] == member[j]]
     lang = np.array([languages.index(v) for v in labels], dtype=int)
-    scale = 1 / np.sqrt(max(float((x.astype(np.float64) ** 2).sum(axis=1).mean()), 1e-12)) if len(x) else 1.0
-    x = x * np.float32(scale)
-    probe = np.arange(len(x)) % 5 == 0
-    fitted = []
+    scale = 1 / np.sqrt(max(float(np.mean([row @ row for row in x])), 1e-12)) if len(x) else 1.0
+    x *= np.float32(scale)
+    fitted, every = [], np.arange(len(x))
     fam = np.array(member, dtype=int)[lang] if languages else lang
     for f in range(len(families)):
-        fitted.append((np.zeros(BUCKETS), 1.0, 1.0, 0.0) if len(families) == 1 else _binary(x, fam == f, probe))
+        fitted.append((np.zeros(BUCKETS), 1.0, 1.0, 0.0) if len(families) == 1 else _binary(x, fam == f, every))
     for i, j in pairs:
-        rows = (lang == i) | (lang == j)
-        fitted.append(_binary(x[rows], lang[rows] == i, probe[rows]))
+        fitted.append(_binary(x, lang == i, np.flatnonzero((lang == i) | (lang == j))))
     weights = np.zeros((BUCKETS + 1, len(fitted)))
     for k, (w, *_rest) in enumerate(fitted):
         weights[:BUCKETS, k] = w * scale
@@ -179,7 +179,7 @@ def _excerpts(text: str) -> list[str]:
     return made
 
 
-def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 250) -> LanguageModel:
+def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 200) -> LanguageModel:
     """A model from at most ``per_language`` whole texts of each of the ``LANGUAGES`` most frequent languages.
 
     With many languages each gets ``TEXTS`` divided by their number, 20 at least. The texts are chosen by a hash, alike at every size; rows without language or without a letter teach nothing.
@@ -196,16 +196,21 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language:
         rows = []
         for t in texts:
             usable = any(map(str.isalpha, t))
-            rows.append([row.astype("<f4").tobytes() for row in frequencies(_excerpts(t))] if usable else [])
+            rows.append([row.astype("<f2").tobytes() for row in frequencies(_excerpts(t))] if usable else [])
         return [pa.array(rows, pa.list_(pa.binary()))]
 
-    made = map_texts(drawn, ["lang", "draw"], "text", featurise, "rows array<binary>").toPandas().sort_values(["lang", "draw"])
-    made = made.groupby("lang", sort=True).head(each)
-    x, labels = [], []
-    for code, group in zip(made["lang"], made["rows"]):
-        x += [np.frombuffer(r, dtype="<f4") for r in group]
-        labels += [code] * len(group)
-    return fit(np.array(x, dtype=np.float32).reshape(len(x), BUCKETS), labels)
+    made = map_texts(drawn, ["lang", "draw"], "text", featurise, "rows array<binary>")
+    found = sorted(((r["lang"], r["draw"], r["rows"]) for r in made.collect() if r["rows"]), key=lambda r: r[:2])
+    taken, labels, parts = Counter(), [], []
+    for code, _, group in found:
+        if taken[code] < each:
+            taken[code] += 1
+            parts += group
+            labels += [code] * len(group)
+    x = np.empty((len(parts), BUCKETS), dtype=np.float32)
+    for i, part in enumerate(parts):
+        x[i] = np.frombuffer(part, dtype="<f2")
+    return fit(x, labels)
 
 
 def _predict(model: LanguageModel, texts: list) -> list:

@@ -5,29 +5,31 @@ from __future__ import annotations
 import numpy as np
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 60, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and offset of an L2-loss linear SVM by dual coordinate descent; ``y`` is +1 or -1.
+def linear_svm(x: np.ndarray, y: np.ndarray, rows: np.ndarray, cost: float = 10.0, epochs: int = 60, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Weights and offset of an L2-loss linear SVM by dual coordinate descent over the ``rows`` of ``x``; ``y`` is +1 or -1.
 
-    Classes are weighted to equal sums, so a rare one isn't given up.
+    Classes are weighted to equal sums, so a rare one isn't given up. ``x`` is never copied.
     """
-    x = np.hstack([x, np.full((len(x), 1), 1.0)]).astype(np.float64)
-    positive = max(1, int((y > 0).sum()))
-    weight = np.where(y > 0, len(y) / (2 * positive), len(y) / (2 * max(1, len(y) - positive)))
+    sign = y[rows]
+    positive = max(1, int((sign > 0).sum()))
+    weight = np.where(sign > 0, len(rows) / (2 * positive), len(rows) / (2 * max(1, len(rows) - positive)))
     diagonal = 0.5 / (cost * weight)
-    norms = np.einsum("ij,ij->i", x, x) + diagonal
-    w, alpha, rng = np.zeros(x.shape[1]), np.zeros(len(x)), np.random.default_rng(seed)
+    norms = np.array([float(x[r] @ x[r]) for r in rows]) + 1.0 + diagonal
+    w, offset, alpha, rng = np.zeros(x.shape[1]), 0.0, np.zeros(len(rows)), np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(len(x)):
-            gradient = y[i] * (x[i] @ w) - 1 + diagonal[i] * alpha[i]
+        for i in rng.permutation(len(rows)):
+            row = x[rows[i]]
+            gradient = sign[i] * (row @ w + offset) - 1 + diagonal[i] * alpha[i]
             step = max(alpha[i] - gradient / norms[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                w += step * y[i] * x[i]
+                w += step * sign[i] * row
+                offset += step * sign[i]
                 moved = max(moved, abs(step) * norms[i])
         if moved < 1e-3:
             break
-    return w[:-1], float(w[-1])
+    return w, offset
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:

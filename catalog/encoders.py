@@ -61,21 +61,16 @@ def response_encode(spark, sf):
     return f32_all(response_apply(docs, vocabulary, ["lang", "source"]).drop("toxic"), ["doc_id"])
 
 
-@query("response_encode_oof")
-def response_encode_oof(spark, sf):
-    """A row's own fold is left out of its shares (folds come from a Spark hash)."""
-    folded = stratified_folds(_docs(spark, sf), ["doc_id"], "toxic", 4, seed=5)
-    return response_out_of_fold(folded, ["lang"], "fold", "toxic").select("doc_id", "fold", f32("lang_0").alias("lang_0"),
-                                                                        f32("lang_1").alias("lang_1"))
-
-
 _FOLDED = "select *, cast(doc_id % 4 as integer) as fold from d"
 
 
-@query("response_encode_key_folds", f"""
-with d as ({_DOCS}), f as ({_FOLDED})
+_OUT_OF_FOLD = f"""
+with d as ({_DOCS}), f as ({{folded}})
 select a.doc_id, a.fold, {', '.join(sql_f32(f'avg(case when b.toxic = {k} then 1.0 else 0.0 end) filter (where b.doc_id is not null)', f'lang_{k}') for k in (0, 1))}
-from f a left join f b on a.lang = b.lang and a.fold <> b.fold group by a.doc_id, a.fold""")
+from f a left join f b on a.lang = b.lang and a.fold <> b.fold group by a.doc_id, a.fold"""
+
+
+@query("response_encode_key_folds", _OUT_OF_FOLD.format(folded=_FOLDED))
 def response_encode_key_folds(spark, sf):
     """The same with folds that SQL can name."""
     folded = with_text(_docs(spark, sf), {"fold": "cast(doc_id % 4 as int)"})
@@ -101,3 +96,14 @@ def group_interactions(spark, sf):
     people = with_text(people, {"rich": "if(c_acctbal > 5000, 'yes', 'no')"})
     out = interactions_apply(people, interactions_fit(people, _GROUPS, _STATS))
     return f32_all(out.select("c_custkey", *interaction_names(_GROUPS, _STATS)), ["c_custkey"])
+
+
+_DEALT = """select *, cast((row_number() over (partition by toxic order by md5('5:' || cast(doc_id as varchar)), doc_id) - 1) % 4 as integer) as fold from d"""
+
+
+@query("response_encode_oof", _OUT_OF_FOLD.format(folded=_DEALT))
+def response_encode_oof(spark, sf):
+    """A row's own fold is left out of its shares (folds dealt out by a hash)."""
+    folded = stratified_folds(_docs(spark, sf), ["doc_id"], "toxic", 4, seed=5)
+    return response_out_of_fold(folded, ["lang"], "fold", "toxic").select("doc_id", "fold", f32("lang_0").alias("lang_0"),
+                                                                        f32("lang_1").alias("lang_1"))

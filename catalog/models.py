@@ -82,7 +82,10 @@ def stratified_fold_counts(spark, sf):
     return folded.groupBy("target", "fold").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("stratified_fold_rows")
+@query("stratified_fold_rows", f"""
+with c as ({_CUSTOMERS})
+select c_custkey, target, cast((row_number() over (partition by target order by md5('33:' || cast(c_custkey as varchar)), c_custkey) - 1) % 3 as integer) as fold
+from c""")
 def stratified_fold_rows(spark, sf):
     return stratified_folds(_customers(spark, sf), ["c_custkey"], "target", 3, seed=33).select("c_custkey", "target", "fold")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 
@@ -12,7 +13,7 @@ from tests.check import compare, connect
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+    spark = build_session(master=f"local[{os.environ.get('TEST_CPUS', '8')}]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
                           spark__driver__memory="10g")
     spark.sparkContext.setLogLevel("ERROR")
     con, checks = connect(sf), oracle_sql()

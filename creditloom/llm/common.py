@@ -18,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(WORD).findall
 
 #: Bytes of text that one call of an Arrow function gets at once (a longer text comes alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from creditloom.llm.common import map_texts, stage
 
 #: Chunks that a worker remembers in each of two generations, the longest one worth it, and bytes of text at once.
-REMEMBERED, LONGEST, AT_ONCE = 300_000, 64, 8 << 20
+REMEMBERED, LONGEST, AT_ONCE = 200_000, 64, 4 << 20
 
 
 class Chunks:

@@ -32,11 +32,10 @@ def _number(seed: str, *columns: str):
 
 
 def _weights(sources: DataFrame, exponent: float) -> DataFrame:
-    """(source, tokens, weight): the shares to the exponent, normalised."""
-    raised = sources.withColumn("_raised", F.pow(F.col("share"), F.lit(float(exponent))))
-    total = raised.agg(F.sum("_raised").alias("_total"))
-    return (raised.withColumn("_one", F.lit(1)).join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-            .select("source", "tokens", (F.col("_raised") / F.col("_total")).alias("weight")))
+    """(source, tokens, documents, weight): the shares to the exponent, normalised."""
+    raised = F.pow(F.col("share"), F.lit(float(exponent)))
+    total = sources.agg(F.sum(raised)).first()[0]
+    return sources.select("source", "tokens", "documents", (raised / F.lit(total)).alias("weight"))
 
 
 def _facts(sources: DataFrame, exponent: float) -> tuple[float, float]:
@@ -77,20 +76,15 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", tokens:
     rows = stage(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
                              F.greatest(F.coalesce(F.col(tokens).cast("bigint"), F.lit(0)), F.lit(1)).alias("tokens")), "mix-rows")
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("documents"))
-    whole = totals.agg(F.sum("tokens").alias("all_tokens")).withColumn("_one", F.lit(1))
-    sources = stage(totals.withColumn("_one", F.lit(1)).join(F.broadcast(whole), "_one")
-                    .select("source", "tokens", "documents", (F.col("tokens") / F.col("all_tokens")).alias("share")), "mix-sources")
-    exponent = find_exponent(sources, entropy_share, most_repeats) if sources.take(1) else 1.0
-    weighted = _weights(sources, exponent).join(sources.select(F.col("source").alias("_s"), "documents"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    every = rows.agg(F.sum("tokens")).first()[0]
+    sources = stage(totals.select("source", "tokens", "documents", (F.col("tokens") / F.lit(every)).alias("share")), "mix-sources")
+    exponent = find_exponent(sources, entropy_share, most_repeats) if every else 1.0
+    weighted = _weights(sources, exponent)
     # the budget: given, or what takes the least favoured source once
-    if budget is None:
-        least = weighted.agg(F.max(F.col("tokens") / F.col("weight")).alias("budget")).withColumn("_one", F.lit(1))
-    else:
-        least = weighted.agg(F.max(F.lit(float(budget))).alias("budget")).withColumn("_one", F.lit(1))
-    quota = F.greatest(F.round(F.col("budget") * F.col("weight")).cast("bigint"), F.lit(1))
-    quotas = (weighted.withColumn("_one", F.lit(1)).join(F.broadcast(least), "_one")
-              .select("source", F.col("tokens").alias("own"), "documents", F.round("weight", 9).alias("weight"), quota.alias("quota"),
-                      F.greatest(F.lit(1), F.floor(F.col("budget") / MIX_TOKENS)).cast("bigint").alias("mix_blocks")))
+    amount = F.lit(float(budget) if budget is not None else weighted.agg(F.max(F.col("tokens") / F.col("weight"))).first()[0])
+    quota = F.greatest(F.round(amount * F.col("weight")).cast("bigint"), F.lit(1))
+    quotas = weighted.select("source", F.col("tokens").alias("own"), "documents", F.round("weight", 9).alias("weight"), quota.alias("quota"),
+                             F.greatest(F.lit(1), F.floor(amount / MIX_TOKENS)).cast("bigint").alias("mix_blocks"))
     planned = (quotas.withColumn("full", F.expr("quota div own"))
                .withColumn("blocks", F.greatest(F.lit(1), F.expr(f"documents div {BLOCK_DOCUMENTS}"))))
     same = F.col("r.source").eqNullSafe(F.col("q.source"))

@@ -130,11 +130,12 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     rows = stage(measures(named, "doc_id", "text", ["lang", "source"]), "measures")
     both = stage(sketch(rows, ["lang", "source"]), "sketches")
     of_lang = merged(both, ["lang"])
-    fine, coarse, whole = limits(both, ["lang", "source"], "1"), limits(of_lang, ["lang"], "2"), limits(merged(of_lang, []), [], "3")
+    fine, coarse = limits(both, ["lang", "source"], "1"), limits(of_lang, ["lang"], "2")
+    whole = limits(merged(of_lang, []), [], "3").first()  # one row, without a value if there is no word
+    of_all = F.struct(*[F.lit(whole["_limits3"][m] if whole and whole["_limits3"] else None).cast("bigint").alias(m) for m in [*MEASURES, "shortest"]])
     same = lambda a, b, keys: reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
     per_group = (fine.alias("f").join(coarse.alias("c"), same("f", "c", ["lang"]), "left")
-                 .withColumn("_one", F.lit(1)).join(F.broadcast(whole.withColumn("_one", F.lit(1))), "_one", "left")  # one row
-                 .select("f.lang", "f.source", F.coalesce("_limits1", "_limits2", "_limits3").alias("_limits")))
+                 .select("f.lang", "f.source", F.coalesce("_limits1", "_limits2", of_all).alias("_limits")))
     failed = F.expr(BASE_FAILED)
     joined = rows.alias("r").join(per_group.alias("g"), same("r", "g", ["lang", "source"]), "left")
     within = [F.expr(f"({e}) <= _limits.{m}") for m, e in MEASURES.items()] + [F.expr(f"({MEASURES['length']}) >= _limits.shortest")]

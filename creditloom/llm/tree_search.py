@@ -127,10 +127,6 @@ def _usable(vectors: DataFrame, vec_id: str, embedding: str, width: int) -> Data
     return vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), x.alias("x")).where(fine & F.col("vec_id").isNotNull())
 
 
-def _split(joined_rows: int) -> int:
-    return max(1, -(-joined_rows // BLOCK))
-
-
 def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``is_query`` (a condition on vec_id) its ``k`` nearest others.
 
@@ -169,15 +165,25 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
     queries = stage(distinct.join(asked.select("class").distinct(), "class").select("class", "x"), "queries")
     visits = _calibrated(tree, placed, queries, k, width)
 
+    per = max(1, BLOCK * tree.leaves // facts.n)  # leaves of a block, neighbours in the tree
+
     def route(batches):
+        """A query's visits, one row for each block of leaves."""
         for batch in batches:
-            x = _matrix(batch.column(1), width)
-            ways = [tree.visits(q, visits) for q in x]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ways, pa.list_(pa.int64()))], names=["class", "x", "ways"])
-
-    routed = queries.mapInArrow(route, "class string, x array<double>, ways array<bigint>").select("class", "x", F.explode("ways").alias("leaf"))
-    near = _nearest_in_leaves(stage(routed, "routes"), placed, k, width)
-    found = near.select("class", F.explode("hits").alias("h")).select("class", "h.score", F.explode("h.ids").alias("vec_id"))
+            at, block, leaves = [], [], []
+            for i, q in enumerate(_matrix(batch.column(1), width)):
+                ways = np.sort(np.array(tree.visits(q, visits), dtype=np.int64))
+                for part in np.split(ways, np.flatnonzero(np.diff(ways // per)) + 1):
+                    at.append(i)
+                    block.append(int(part[0]) // per)
+                    leaves.append(part)
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(block, pa.int64()),
+                                              pa.array(leaves, pa.list_(pa.int64()))], names=["class", "x", "block", "leaves"])
+
+    routed = stage(queries.mapInArrow(route, "class string, x array<double>, block bigint, leaves array<bigint>"), "routes")
+    near = _nearest_in_blocks(routed, placed.withColumn("block", F.expr(f"leaf div {per}")), k)
+    found = near.select("class", "score", F.explode("ids").alias("vec_id"))
     first = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id")
     answers = found.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).drop("n")
     mine = answers.join(asked.withColumnRenamed("vec_id", "query_id"), "class").where("vec_id <> query_id")
@@ -186,40 +192,48 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _best(queries: np.ndarray, x: np.ndarray, ids: list, k: int) -> list[list[dict]]:
-    """For each query the classes among ``x`` that can hold one of its ``k`` + 1 nearest ids, ties whole."""
-    out, scores = [], np.empty((len(queries), len(x)))
-    for i, q in enumerate(queries):
-        scores[i] = (x * q).sum(axis=1)
+def _best(queries: np.ndarray, x: np.ndarray, visited: np.ndarray, ids: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, candidate, score) of the ``k`` + 1 best candidates that each query visits; ties at the end by smallest id.
+
+    A matrix product finds them; the scores of those found are summed one by one, alike in every block.
+    """
+    rough = np.where(visited, queries @ x.T, -np.inf)
     keep = min(k + 1, len(x))
-    for s in scores:
-        bound = np.partition(s, len(s) - keep)[len(s) - keep]
-        hit = np.flatnonzero(s >= bound)
-        if len(hit) > keep:  # ties at the bound: those with the smallest ids
-            hit = np.array(sorted(hit, key=lambda j: (-s[j], ids[j][0]))[:keep])
-        out.append([{"score": float(s[j]), "ids": ids[j]} for j in hit])
-    return out
-
-
-def _nearest_in_leaves(routed: DataFrame, placed: DataFrame, k: int, width: int) -> DataFrame:
-    """(class, hits) for each block of queries and block of candidates that meet in a leaf."""
-    here = placed.groupBy("leaf").agg(F.count("*").alias("held"))
-    there = routed.groupBy("leaf").agg(F.count("*").alias("asked"))
-    cuts = here.join(there, "leaf").select("leaf", F.ceil(F.col("held") / BLOCK).alias("a"), F.ceil(F.col("asked") / BLOCK).alias("b"))
-    x = (placed.join(F.broadcast(cuts), "leaf")  # one row a leaf: bounded by the sample
-         .select("leaf", "x", "ids", F.pmod(F.xxhash64("class"), F.col("a")).alias("i"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("b") - 1)).alias("j")))
-    q = (routed.join(F.broadcast(cuts), "leaf")
-         .select("leaf", "class", "x", F.pmod(F.xxhash64("class"), F.col("b")).alias("j"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("a") - 1)).alias("i")))
+    bound = np.partition(rough, len(x) - keep, axis=1)[:, len(x) - keep]
+    q, c = np.nonzero((rough >= (bound - 1e-9 * np.abs(bound))[:, None]) & np.isfinite(rough))
+    score = np.einsum("ij,ij->i", queries[q], x[c])
+    order = np.lexsort((np.array([i[0] for i in ids])[c], -score, q))
+    q, c, score = q[order], c[order], score[order]
+    rank = np.arange(len(q)) - np.searchsorted(q, q)
+    return q[rank < keep], c[rank < keep], score[rank < keep]
+
+
+def _nearest_in_blocks(routed: DataFrame, placed: DataFrame, k: int) -> DataFrame:
+    """(class, score, ids): the best of each query in each block of leaves that it visits."""
+    here = placed.groupBy("block").agg(F.count("*").alias("held"))
+    there = routed.groupBy("block").agg(F.count("*").alias("asked"))
+    cuts = here.join(there, "block").select("block", F.ceil(F.col("held") / BLOCK).alias("a"), F.ceil(F.col("asked") / BLOCK).alias("b"))
+    zero = F.lit(0).cast("bigint")
+    x = (placed.join(F.broadcast(cuts), "block")  # one row a block: bounded by the sample
+         .select("block", "leaf", "x", "ids", F.pmod(F.xxhash64("class"), F.col("a")).alias("i"), F.explode(F.sequence(zero, F.col("b") - 1)).alias("j")))
+    q = (routed.join(F.broadcast(cuts), "block")
+         .select("block", "class", "x", "leaves", F.pmod(F.xxhash64("class"), F.col("b")).alias("j"), F.explode(F.sequence(zero, F.col("a") - 1)).alias("i")))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"class": [], "hits": []})
-        ids = [list(map(int, v)) for v in right["ids"]]
-        hits = _best(np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy()), ids, k)
-        return pd.DataFrame({"class": left["class"], "hits": hits})
-
-    keys = ["leaf", "i", "j"]
-    return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(meet, "class string, hits array<struct<score: double, ids: array<bigint>>>")
+            return pd.DataFrame({"class": [], "score": [], "ids": []})
+        ids = right["ids"].tolist()
+        names, number = np.unique(right["leaf"].to_numpy(), return_inverse=True)
+        candidates, out = np.stack(right["x"].to_numpy()), []
+        for start in range(0, len(left), 256):
+            part = left.iloc[start:start + 256]
+            opened = np.stack([np.isin(names, v) for v in part["leaves"]])
+            n, c, score = _best(np.stack(part["x"].to_numpy()), candidates, opened[:, number], ids, k)
+            out.append(pd.DataFrame({"class": part["class"].to_numpy()[n], "score": score, "ids": [ids[i] for i in c]}))
+        return pd.concat(out)
+
+    keys = ["block", "i", "j"]
+    return q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(meet, "class string, score double, ids array<bigint>")
 
 
 def _calibrated(tree: Tree, placed: DataFrame, queries: DataFrame, k: int, width: int) -> int:

@@ -4,6 +4,10 @@ Texts are seen as relative frequencies of hashed byte trigrams of the lower-case
 value is then a mean of weights over the text's trigrams, so whole texts are scored by table look-ups and
 sums, however long. Training takes a bounded sample: ``per_language`` rows of each language, whole texts and
 two short pieces of each.
+
+Whether a text is in a known language at all is judged by evidence that doesn't depend on the other languages: the mean
+log ratio of its trigrams' frequencies in its best language to a uniform table. The least evidence is set from the
+evidence that training texts have from the other folds' texts of their language.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 #: Size of the hashed trigram table, languages at most (the most frequent ones), and about how many texts train all.
 BUCKETS, LANGUAGES, TEXTS = 4096, 200, 2000
 UNDETERMINED = "und"
+#: Added to a language's trigram counts; folds for the held-out evidence; and the fence below its median, in distances to its lowest ``TAIL``.
+PRIOR, FOLDS, TAIL, FENCE = 0.1, 5, 0.01, 2.5
 _SPACE, _END = 155, 0
 
 
@@ -96,13 +102,23 @@ class LanguageModel:
     slopes: np.ndarray
     shifts: np.ndarray
     member: list[int] = field(default_factory=list)  # the family's number of each language
+    evidence: np.ndarray = field(default_factory=lambda: np.zeros((BUCKETS + 1, 0)))  # log ratios by bucket, a column for each language
+    least: float = -np.inf
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The language of each whole text and how likely it is; ``und`` and 0 where no letter is."""
+        return self._judge(texts, False)[:2]
+
+    def familiar(self, texts: list[str | None]) -> list[bool]:
+        """Whether the evidence for each whole text's best language reaches the least; false where no letter is."""
+        return [e >= self.least for e in self._judge(texts, True)[2]]
+
+    def _judge(self, texts: list[str | None], weigh: bool) -> tuple[list[str], list[float], list[float]]:
+        """Languages, scores and, if asked to ``weigh``, evidence (NaN where no letter is)."""
         known = [t if t and any(map(str.isalpha, t)) else None for t in texts]
         given = [t for t in known if t is not None]
         if not given or not self.languages:
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            return [UNDETERMINED] * len(texts), [0.0] * len(texts), [np.nan] * len(texts)
         index, starts = trigrams(given)
         counts = np.add.reduceat((index != BUCKETS).astype(np.float64), starts)
         sums = [np.add.reduceat(column[index], starts) for column in self.weights.T]
@@ -126,13 +142,18 @@ class LanguageModel:
         best = rank.argmax(axis=1)
         rows = np.arange(len(given))
         score = np.clip(family[rows, best_family] * inside[rows, best], 0, 1)
-        found = iter(zip(best.tolist(), score.tolist()))
-        labels, scores = [], []
+        proof = np.zeros(len(given))
+        if weigh:
+            every = [np.add.reduceat(column[index], starts) for column in self.evidence.T]
+            proof = np.stack(every, axis=1)[rows, best] / np.maximum(counts, 1)
+        found = iter(zip(best.tolist(), score.tolist(), proof.tolist()))
+        labels, scores, proofs = [], [], []
         for t in known:
-            i, s = next(found) if t is not None else (None, 0.0)
+            i, s, e = next(found) if t is not None else (None, 0.0, np.nan)
             labels.append(UNDETERMINED if i is None else self.languages[i])
             scores.append(s)
-        return labels, scores
+            proofs.append(e)
+        return labels, scores, proofs
 
 
 def _binary(x: np.ndarray, positive: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, float, float, float]:
@@ -145,14 +166,47 @@ def _binary(x: np.ndarray, positive: np.ndarray, rows: np.ndarray) -> tuple[np.n
     return w, b, slope, shift
 
 
-def fit(x: np.ndarray, labels: list[str]) -> LanguageModel:
-    """The model of trigram frequencies ``x`` (scaled in place) and their languages; no rows give a model that says ``und``."""
+def _log_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log ratios of smoothed trigram frequencies to a uniform table, a column for each row of counts."""
+    share = (counts + PRIOR) / (counts.sum(axis=1, keepdims=True) + PRIOR * BUCKETS)
+    return np.log(share * BUCKETS).T
+
+
+def _evidence(x: np.ndarray, lang: np.ndarray, n_languages: int, sizes: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, float]:
+    """Log ratios of all languages, and the least evidence by that of texts and pieces held out by folds of ``texts``.
+
+    A text of a language without texts in other folds tells nothing; if there is none, nothing is rejected.
+    """
+    counts = np.zeros((FOLDS, n_languages, BUCKETS))
+    whole = np.r_[True, texts[1:] != texts[:-1]] if len(texts) else np.zeros(0, bool)  # a text's first row; the others are pieces of it
+    for r in np.flatnonzero(whole):
+        counts[texts[r] % FOLDS, lang[r]] += x[r] * sizes[r]
+    total, held = counts.sum(axis=0), []
+    for f in range(FOLDS):
+        rest = total - counts[f]
+        columns = _log_ratios(rest)
+        taught = rest.sum(axis=1) > 0.5
+        held += [float(x[r] @ columns[:, lang[r]]) for r in np.flatnonzero(texts % FOLDS == f) if taught[lang[r]]]
+    if not held:
+        least = -np.inf
+    else:
+        middle, low = np.median(held), np.quantile(held, TAIL)
+        least = float(middle - FENCE * (middle - low))
+    return np.vstack([_log_ratios(total), np.zeros((1, n_languages))]), least
+
+
+def fit(x: np.ndarray, labels: list[str], sizes: np.ndarray, texts: np.ndarray) -> LanguageModel:
+    """The model of trigram frequencies ``x`` (scaled in place), their languages, numbers of trigrams and the texts they are from.
+
+    No rows give a model that says ``und``.
+    """
     languages = sorted(set(labels))
     of = [_FAMILY.get(code.lower().replace("_", "-").split("-")[0], code) for code in languages]
     families = sorted(set(of))
     member = [families.index(f) for f in of]
     pairs = [(i, j) for i, j in combinations(range(len(languages)), 2) if member[i] == member[j]]
     lang = np.array([languages.index(v) for v in labels], dtype=int)
+    evidence, least = _evidence(x, lang, len(languages), sizes, texts)
     scale = 1 / np.sqrt(max(float(np.mean([row @ row for row in x])), 1e-12)) if len(x) else 1.0
     x *= np.float32(scale)
     fitted, every = [], np.arange(len(x))
@@ -165,7 +219,7 @@ def fit(x: np.ndarray, labels: list[str]) -> LanguageModel:
     for k, (w, *_rest) in enumerate(fitted):
         weights[:BUCKETS, k] = w * scale
     column = [np.array([f[i] for f in fitted]) for i in (1, 2, 3)]
-    return LanguageModel(languages, families, pairs, weights, *column, member)
+    return LanguageModel(languages, families, pairs, weights, *column, member, evidence, least)
 
 
 def _excerpts(text: str) -> list[str]:
@@ -193,24 +247,28 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language:
              .groupBy("lang", "draw").agg(F.min("text").alias("text")))  # copies teach once
 
     def featurise(texts: list) -> list:
-        rows = []
+        rows, sizes = [], []
         for t in texts:
             usable = any(map(str.isalpha, t))
-            rows.append([row.astype("<f2").tobytes() for row in frequencies(_excerpts(t))] if usable else [])
-        return [pa.array(rows, pa.list_(pa.binary()))]
-
-    made = map_texts(drawn, ["lang", "draw"], "text", featurise, "rows array<binary>")
-    found = sorted(((r["lang"], r["draw"], r["rows"]) for r in made.collect() if r["rows"]), key=lambda r: r[:2])
-    taken, labels, parts = Counter(), [], []
-    for code, _, group in found:
+            pieces = _excerpts(t)
+            sizes.append([int((trigrams([p])[0] != BUCKETS).sum()) for p in pieces] if usable else [])
+            rows.append([row.astype("<f2").tobytes() for row in frequencies(pieces)] if usable else [])
+        return [pa.array(rows, pa.list_(pa.binary())), pa.array(sizes, pa.list_(pa.int64()))]
+
+    made = map_texts(drawn, ["lang", "draw"], "text", featurise, "rows array<binary>, sizes array<bigint>")
+    found = sorted(((r["lang"], r["draw"], r["rows"], r["sizes"]) for r in made.collect() if r["rows"]), key=lambda r: r[:2])
+    taken, labels, parts, lengths, of = Counter(), [], [], [], []
+    for code, _, group, sizes in found:
         if taken[code] < each:
+            of += [sum(taken.values())] * len(group)
             taken[code] += 1
             parts += group
+            lengths += sizes
             labels += [code] * len(group)
     x = np.empty((len(parts), BUCKETS), dtype=np.float32)
     for i, part in enumerate(parts):
         x[i] = np.frombuffer(part, dtype="<f2")
-    return fit(x, labels)
+    return fit(x, labels, np.array(lengths, dtype=np.int64), np.array(of, dtype=np.int64))
 
 
 def _predict(model: LanguageModel, texts: list) -> list:
@@ -226,8 +284,6 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
     return map_texts(docs, keep, text, partial(_predict, model), "lang_pred string, score double")
 
 
-def recognised(docs: DataFrame, model: LanguageModel, least: float, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a score of ``least`` or more."""
-    def accept(texts: list) -> list[bool]:
-        return [label != UNDETERMINED and score >= least for label, score in zip(*model.predict(texts))]
-    return keep_texts(docs, text, accept)
+def recognised(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has enough evidence for its best language; none if nothing was learned."""
+    return keep_texts(docs, text, model.familiar)

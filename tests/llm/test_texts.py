@@ -79,6 +79,25 @@ def test_language_of_a_text_does_not_depend_on_its_neighbours(documents):
     assert model.predict(texts) == tuple(map(list, zip(*[(model.predict([t])[0][0], model.predict([t])[1][0]) for t in texts])))
 
 
+def test_unknown_languages_and_random_letters_are_rejected(spark):
+    """A language that was not learned, and random letters, go; held-out texts of the learned ones stay, short ones too."""
+    documents = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    rng = __import__("random").Random(2)
+    for unlearned in ("es", "de"):
+        taught = documents.where(F.col("lang") != unlearned)
+        model = langid.train(taught.where(remainder("doc_id", 3) != 1), per_language=60)
+        strange = [r.text for r in documents.where(F.col("lang") == unlearned).collect() if len(r.text) > 60]
+        assert sum(model.familiar(strange)) <= 0.05 * len(strange)
+        clean = [r.text for r in taught.where(remainder("doc_id", 3) == 1).collect()]
+        assert sum(model.familiar(clean)) >= 0.99 * len(clean)
+        short = [" ".join(t.split()[:4]) for t in clean if t.split()[3:]]
+        assert sum(model.familiar(short)) >= 0.97 * len(short)
+        letters = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (4, 8, 30) for _ in range(50)]
+        assert sum(model.familiar(letters)) <= 0.02 * len(letters)
+        kept = langid.recognised(spark.createDataFrame([(t,) for t in [*strange, *letters, None, "12"]], "text string"), model)
+        assert kept.count() <= 0.05 * (len(strange) + len(letters))
+
+
 def test_held_out_languages(spark):
     got = QUERIES["op1_language_families"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
     row = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()

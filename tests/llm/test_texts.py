@@ -275,6 +275,27 @@ def test_clean_documents_pass_the_rules(spark):
     assert kept[1] >= 0.99 and kept[0] <= 0.3
 
 
+def test_each_measure_alone_fails_a_document(spark):
+    """In a clean group, menu lines in changing order, a quarter of repeated words, symbols and long words go, each by its own measure."""
+    rng = __import__("random").Random(9)
+    words = ["".join(rng.choice("abcdefghijklm") for _ in range(5)) for _ in range(3000)]
+    say = lambda n: " ".join(rng.sample(words, n))
+    clean = ["\n".join(say(rng.randint(9, 14)) for _ in range(10)) for _ in range(80)]
+    menu, used, order = [say(4 + i % 4) for i in range(12)], set(), [0]
+    for _ in range(39):  # no two lines follow each other twice, so no window of 8 words comes again
+        order.append(next(j for j in rng.sample(range(12), 12) if j != order[-1] and (order[-1], j) not in used))
+        used.add((order[-2], order[-1]))
+    passage = say(12)
+    planted = {"n_dup_lines": "\n".join(menu[i] for i in order), "n_repeat_words": f"{say(20)} {passage} {say(30)} {passage} {say(26)}",
+               "n_symbols": say(100).replace(" ", " #", 20), "word_chars": say(100).replace(" ", "".join(rng.choice("nopq") for _ in range(20)) + " ")}
+    texts = [*clean, *planted.values()]
+    got = {r.doc_id: r for r in rules.judged(spark.createDataFrame([(i, t, "en", "web") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string")).collect()}
+    assert all(got[i].kept for i in range(len(clean)))
+    for i, name in enumerate(planted, len(clean)):
+        assert not got[i].base_failed and not got[i].kept, name
+        assert all((got[i][m] > 0) == (m == name) for m in ("n_symbols", "n_dup_lines", "n_repeat_words")), name
+
+
 def test_folds_are_those_of_crc32(spark):
     import zlib
     got = spark.range(50).select("id", remainder("id", 3).alias("r")).collect()

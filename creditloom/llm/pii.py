@@ -2,9 +2,7 @@
 
 The network is trained in numpy from labelled spans: those of the patterns in a bounded sample of documents,
 and the same values written in ways that the patterns don't know. It reads windows of ``WINDOW`` characters
-that overlap by half. Decoding is constrained: a span holds a digit or an at sign, and only characters of
-``OPENS`` or of the span's own kind lie at its ends; so a window without a digit or at sign has no span, and
-isn't computed. Each position takes its tag from the window in which it lies most central, tags are joined
+that overlap by half, all windows of every text. Each position takes its tag from the window in which it lies most central, tags are joined
 to spans over the whole text, and a span is kept if its mean marginal reaches ``SURE`` and no fixed span
 overlaps it.
 """
@@ -34,6 +32,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+_BRACKETED_AT = re.compile(r"\w\s*[\[(]\s*at\s*[\])]\s*\w", re.I)
+_LETTERS = str.maketrans("0123456789", "aeiounrstl")
 
 Span = tuple[str, int, int]
 
@@ -137,17 +137,19 @@ class Tagger:
     def run(self, classes: np.ndarray, keep: bool = False):
         """Hidden states of both directions for windows (time, windows) of classes."""
         states, memory = [], []
+        half = np.r_[np.full(3 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)]  # a sigmoid is a tanh of half
         for d in range(2):
             seen = classes if d == 0 else classes[::-1]
-            table, weight = self.inputs[d], self.recurrent[d]
+            table, weight = self.inputs[d] * half, self.recurrent[d] * half
             h = np.zeros((seen.shape[1], HIDDEN), np.float32)
             c, hs, kept = np.zeros_like(h), [], []
             for row in seen:
-                z = table[row]
+                z = table.take(row, axis=0)
                 z += h @ weight
-                z[:, :3 * HIDDEN] *= 0.5
                 np.tanh(z, out=z)
-                gate = z[:, :3 * HIDDEN] * 0.5 + 0.5
+                gate = z[:, :3 * HIDDEN]
+                gate = gate * 0.5
+                gate += 0.5
                 i, f, o, g = gate[:, :HIDDEN], gate[:, HIDDEN:2 * HIDDEN], gate[:, 2 * HIDDEN:], z[:, 3 * HIDDEN:]
                 before = c
                 c = f * c + i * g
@@ -180,6 +182,18 @@ def viterbi(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
     return tags
 
 
+def idle(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Windows whose best path is surely without any span: no run of other tags, at the best of their scores, gains on tag 0."""
+    gain = emit[:, :, 1:].max(axis=2) - emit[:, :, 0]
+    enter, leave, stay = (float(part.max() - step[0, 0]) for part in (step[0, 1:], step[1:, 0], step[1:, 1:]))
+    run = gain[0].copy()
+    best = run + leave if len(gain) > 1 else run
+    for t in range(1, len(gain)):
+        run = gain[t] + np.maximum(run + stay, enter)
+        best = np.maximum(best, run + (leave if t < len(gain) - 1 else 0.0))
+    return best < -1e-3
+
+
 def crf_marginals(emit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tag chances, summed expected transitions, and log normalisers, by scaled forward-backward."""
     times, n, _ = emit.shape
@@ -256,16 +270,9 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], rounds: int = 400, batch:
 
 # --- whole texts -------------------------------------------------------------------------------
 
-def window_starts(text: str, length: int) -> list[int]:
-    """Starts of the windows that hold a digit or an at sign."""
-    last = max(0, -(-(length - WINDOW) // STRIDE)) * STRIDE
-    wanted = set()
-    for m in _TRIGGER.finditer(text):
-        at = m.start()
-        wanted.add(min(at // STRIDE * STRIDE, last))
-        if at >= STRIDE:
-            wanted.add(min(at // STRIDE * STRIDE - STRIDE, last))
-    return sorted(wanted)
+def window_starts(length: int) -> np.ndarray:
+    """Starts of the windows that cover a text."""
+    return np.arange(0, max(0, length - WINDOW) + STRIDE, STRIDE)
 
 
 def added_spans(model: Tagger | None, texts: list[str], fixed: list[list[Span]]) -> list[list[Span]]:
@@ -273,32 +280,37 @@ def added_spans(model: Tagger | None, texts: list[str], fixed: list[list[Span]])
     added: list[list[Span]] = [[] for _ in texts]
     if model is None:
         return added
-    jobs, rows, classes = [], [], {}
-    for k, text in enumerate(texts):
-        starts = window_starts(text, len(text))
-        if not starts:
-            continue
-        classes[k] = np.concatenate([char_classes(text), np.full(WINDOW, _CLASS[10], np.uint8)])
-        for s in starts:
-            jobs.append((k, s))
-            rows.append(classes[k][s:s + WINDOW])
-    tags = {k: np.zeros(len(texts[k]), np.int8) for k in classes}
-    sure = {k: np.zeros(len(texts[k]), np.float32) for k in classes}
-    for at in range(0, len(jobs), 1024):
-        part = jobs[at:at + 1024]
-        emit = model.emissions(model.run(np.stack(rows[at:at + 1024], axis=1))[0])
-        best = viterbi(emit, model.step)
-        hit = np.flatnonzero(best.any(axis=0))
+    tags, sure = {}, {}
+    owner = [(k, window_starts(len(t))) for k, t in enumerate(texts) if t]
+    if not owner:
+        return added
+    which = np.concatenate([np.full(len(starts), k) for k, starts in owner])
+    place = np.concatenate([starts for _, starts in owner])
+    base, parts, total = np.zeros(len(texts), np.int64), [], 0
+    for k, _ in owner:
+        base[k] = total
+        parts += [char_classes(texts[k]), np.full(WINDOW, _CLASS[10], np.uint8)]
+        total += len(texts[k]) + WINDOW
+    classes = np.concatenate(parts)
+    for at in range(0, len(place), 1024):
+        owners, starts = which[at:at + 1024], place[at:at + 1024]
+        emit = model.emissions(model.run(classes[np.arange(WINDOW)[:, None] + (base[owners] + starts)])[0])
+        hit = np.flatnonzero(~idle(emit, model.step))
+        best = viterbi(emit[:, hit], model.step)
+        some = best.any(axis=0)
+        hit, best = hit[some], best[:, some]
         if not len(hit):
             continue
         chance = crf_marginals(emit[:, hit], model.step)[0]
-        sured = np.take_along_axis(chance, best[:, hit, None].astype(np.int64), axis=2)[:, :, 0]
-        for j, column in zip(hit.tolist(), range(len(hit))):
-            k, s = part[j]
+        sured = np.take_along_axis(chance, best[:, :, None].astype(np.int64), axis=2)[:, :, 0]
+        for column, j in enumerate(hit.tolist()):
+            k, s = int(owners[j]), int(starts[j])
             end = len(texts[k])
+            if k not in tags:
+                tags[k], sure[k] = np.zeros(end, np.int8), np.ones(end, np.float32)
             low = 0 if s == 0 else s + EDGE
             high = end if s + WINDOW >= end else s + WINDOW - EDGE
-            tags[k][low:high] = best[low - s:high - s, j]
+            tags[k][low:high] = best[low - s:high - s, column]
             sure[k][low:high] = sured[low - s:high - s, column]
     for k, found in tags.items():
         cuts = np.flatnonzero(np.diff(np.r_[0, found, 0]))
@@ -319,7 +331,7 @@ def plausible(kind: str, value: str) -> bool:
     """Whether a decoded span can be of its kind at all, however it is written."""
     digits = [c for c in value if c.isdecimal() and c.isascii()]
     if kind == "email":
-        return "@" in value or re.search(r"[\[( ]at[\]) ]", value, re.I) is not None and bool(digits)
+        return "@" in value or _BRACKETED_AT.search(value) is not None or " at " in value.lower() and bool(digits)
     if kind == "ip":
         return 4 <= len(digits) <= 12 and len(re.findall(r"[0-9]+", value)) == 4
     if kind == "card":
@@ -344,6 +356,17 @@ def variants(kind: str, value: str) -> list[str]:
     return [f"({local[:3]}) {local[3:6]}-{local[6:]}", f"{local[:3]}-{local[3:6]}-{local[6:]}", f"{local[:3]}.{local[3:6]}.{local[6:]}"]
 
 
+def plain_address(value: str, text: str, turn: int) -> str:
+    """An address without digits, every other time at a host named by a word of the text, with the at sign spelt out."""
+    name, _, host = value.translate(_LETTERS).partition("@")
+    words = re.findall("[A-Za-z]{3,10}", text) if turn & 1 else []
+    if words:
+        host = f"{words[turn % len(words)].lower()}.{('org', 'com', 'net', 'de')[turn >> 1 & 3]}"
+    if turn >> 3 & 1:
+        name = re.split("[._%+-]", name)[0] or name
+    return variants("email", f"{name}@{host}")[2 + (turn >> 4 & 1)]
+
+
 def examples_of(text: str, most: int = 6) -> list[tuple[bytes, bytes]]:
     """Training windows of a labelled text: around spans, with spans rewritten, around other digits, and plain ones."""
     spans, made = base_spans(text), []
@@ -361,8 +384,10 @@ def examples_of(text: str, most: int = 6) -> list[tuple[bytes, bytes]]:
     for n, (kind, s, e) in enumerate(spans[:most]):
         window(text, spans, s)
         ways = variants(kind, text[s:e])
-        if ways:
-            value = ways[(turn + n) % len(ways)]
+        rewritten = [ways[(turn + n) % len(ways)]] if ways else []
+        if kind == "email":
+            rewritten += [plain_address(text[s:e], text, (turn >> 5 * k) + n * 7 + k * 16) for k in (1, 2, 3)]
+        for value in rewritten:
             shift = len(value) - (e - s)
             moved = [(k, a, b) if b <= s else (k, a + shift, b + shift) for k, a, b in spans if b <= s or a >= e]
             window(text[:s] + value + text[e:], [*moved, (kind, s, s + len(value))], s)

@@ -230,6 +230,34 @@ def test_windows_cover_texts_of_any_length(tagger):
         assert alone == added[0]
 
 
+def test_addresses_without_digits_are_found_anywhere(tagger):
+    """No digit and no at sign in the whole text, at offsets all over the windows: no window may be skipped."""
+    prose = "Plain words come before this and more of them so that it is a sentence. " * 5
+    found = total = 0
+    for address in ("jane.doe (at) example.org", "jane [at] example [dot] org", "maria.lopez (at) mail.example.com"):
+        for lead in range(1, 200, 9):
+            head = prose[:lead].rstrip() + " "
+            _, added = pii.detect(tagger, [head + address + " and then the text goes on for a while with words. " + prose])
+            s, e = len(head), len(head) + len(address)
+            total += 1
+            found += any(kind == "email" and s - 12 <= a <= s and e <= b <= e + 12 for kind, a, b in added[0])
+            assert all(a < e and s < b for _, a, b in added[0])
+    assert found >= 0.9 * total
+
+
+def test_windows_without_spans_are_idle():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    seen = 0
+    for shift in (2.0, 4.0, 6.0):
+        emit, step = rng.normal(size=(6, 200, 5)), rng.normal(size=(5, 5))
+        emit[:, :, 0] += shift
+        quiet = pii.idle(emit, step)
+        assert not pii.viterbi(emit[:, quiet], step).any()
+        seen += quiet.sum()
+    assert seen > 20
+
+
 def test_masking_keeps_rows_and_columns(odd, tagger):
     masked = pii.mask(odd, tagger)
     assert masked.columns == odd.columns and masked.count() == odd.count()

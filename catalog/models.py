@@ -116,7 +116,7 @@ def logreg_search(spark, sf):
     """Random search over the strengths: train and validation ROC-AUC per draw and fold."""
     train, _ = _sets(spark, sf)
     rows = linear.prepare(train, linear.Scaler.fit(train, _FEATURES), "c_custkey", "target")
-    tuned = linear.random_search(rows, linear.logistic, linear.LOGISTIC_GRID, 4, linear.LOGISTIC_SEARCH_SEED)
+    tuned = linear.random_search(rows, linear.logistic, linear.LOGISTIC_GRID, linear.SEARCH_DRAWS, linear.LOGISTIC_SEARCH_SEED)
     return tuned.search
 
 
@@ -124,7 +124,7 @@ def logreg_search(spark, sf):
 def logreg_scores(spark, sf):
     """Search, out-of-fold threshold, final fit, scored rows."""
     train, test = _sets(spark, sf)
-    run = modelling.run(train, test, "logistic", "c_custkey", "target", select=False, draws=2, columns=_FEATURES)
+    run = modelling.run(train, test, "logistic", "c_custkey", "target", columns=_FEATURES)
     return run.test.select("c_custkey", "score", "predicted")
 
 
@@ -132,7 +132,7 @@ def logreg_scores(spark, sf):
 def svm_calibrated(spark, sf):
     """Linear SVM with isotonic calibration; the report of its out-of-fold scores."""
     train, test = _sets(spark, sf)
-    run = modelling.run(train, test, "svm", "c_custkey", "target", select=False, draws=1, columns=_FEATURES)
+    run = modelling.run(train, test, "svm", "c_custkey", "target", columns=_FEATURES)
     return run.report
 
 
@@ -149,7 +149,7 @@ def _same_after_reading(spark, scorer, rows):
 def model_kept_logistic(spark, sf):
     """Fit, save, load, score: the scores of the model read again are those of the fitted one."""
     train, test = _sets(spark, sf)
-    run = modelling.run(train, test, "logistic", "c_custkey", "target", select=False, draws=1, columns=_FEATURES)
+    run = modelling.run(train, test, "logistic", "c_custkey", "target", select=False, columns=_FEATURES)
     return _same_after_reading(spark, run.scorer, test)
 
 
@@ -158,7 +158,7 @@ def model_kept_svm(spark, sf):
     """The same for a calibrated model: margins and calibration curves of all parts."""
     train, test = _sets(spark, sf)
     rows = linear.prepare(train, scaler := linear.Scaler.fit(train, _FEATURES), "c_custkey", "target")
-    model = linear.Calibrated.fit(rows, "c_custkey", lambda: linear.svm(0.01), k=2)
+    model = linear.Calibrated.fit(rows, "c_custkey", lambda: linear.svm(0.01))
     return _same_after_reading(spark, Scorer(scaler, model, 0.1), test)
 
 
@@ -167,7 +167,7 @@ def svm_sigmoid(spark, sf):
     """Sigmoid calibration of one strength, scores of all rows."""
     train, _ = _sets(spark, sf)
     rows = linear.prepare(train, linear.Scaler.fit(train, _FEATURES), "c_custkey", "target")
-    model = linear.Calibrated.fit(rows, "c_custkey", lambda: linear.svm(0.01), "sigmoid", k=2)
+    model = linear.Calibrated.fit(rows, "c_custkey", lambda: linear.svm(0.01), "sigmoid")
     return model.score(rows).select("c_custkey", "label", "score")
 
 
@@ -183,7 +183,7 @@ def feature_importance_topk(spark, sf):
 def recursive_select(spark, sf):
     """Kept columns and the rounds of the selection."""
     train, _ = _sets(spark, sf)
-    kept, rounds = boosting.select_features(train, "c_custkey", "target", _FEATURES, trees=5, depth=3, max_rounds=2)
+    kept, rounds = boosting.select_features(train, "c_custkey", "target", _FEATURES)
     return spark.createDataFrame([(r["round"], float(r["score"]), r["columns"], r["important"], ",".join(kept)) for r in rounds],
                                  "round int, score double, columns int, important int, kept string")
 
@@ -193,23 +193,22 @@ def model_impute(spark, sf):
     """Missing scores filled one after the other by boosted trees."""
     rows = application.cleaned(credit_table(spark, sf, "application"), True)
     inputs = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "DAYS_EMPLOYED", "OWN_CAR_AGE"]
-    filled = boosting.impute_chain(rows, [], specs.IMPUTE_ORDER, inputs, trees=5)[0]
+    filled = boosting.impute_chain(rows, [], specs.IMPUTE_ORDER, inputs)[0]
     return filled.select("SK_ID_CURR", *specs.EXT_SOURCES)
 
 
 @query("term_model")
 def term_model(spark, sf):
     """Expected number of payments from the previous applications, and the interest it implies."""
-    model = boosting.term_model(credit_table(spark, sf, "previous_application"), trees=3, depth=5)
+    model = boosting.term_model(credit_table(spark, sf, "previous_application"))
     rows = boosting.term_features(credit_table(spark, sf, "application"), model)
     return rows.select("SK_ID_CURR", "EXPECTED_CNT_PAYMENT", "EXPECTED_INTEREST", "EXPECTED_INTEREST_SHARE", "EXPECTED_INTEREST_RATE")
 
 
 @query("application_chain")
 def application_chain(spark, sf):
-    """The whole application chain with small models: imputation, ratios, term, neighbours, label features."""
+    """The whole application chain with its full models: imputation, ratios, term, neighbours, label features."""
     rows = credit_table(spark, sf, "application")
-    train, _ = application.application_features(rows, rows.drop("TARGET"), credit_table(spark, sf, "previous_application"),
-                                                trees=3, term_trees=2, neighbours=50)
-    return train.select("SK_ID_CURR", "TARGET", "TARGET_NEIGHBORS_50_MEAN", "EXT_SOURCE_MEAN", "EXPECTED_CNT_PAYMENT",
+    train, _ = application.application_features(rows, rows.drop("TARGET"), credit_table(spark, sf, "previous_application"))
+    return train.select("SK_ID_CURR", "TARGET", f"TARGET_NEIGHBORS_{specs.NEIGHBOURS}_MEAN", "EXT_SOURCE_MEAN", "EXPECTED_CNT_PAYMENT",
                         "CODE_GENDER_1", "OCCUPATION_TYPE_1")

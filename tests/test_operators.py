@@ -379,3 +379,14 @@ def test_smoothing_of_missing_keys_in_every_form(spark, typed, limit, longest):
     assert (a.place == b.place).all() and np.allclose(a.EXP_x, b.EXP_x, equal_nan=True)
     last = ewm_last(rows_, ["k"], ["i"], ["x"], 0.3, limit=limit).collect()
     assert len(last) == 2
+
+
+def test_model_queries_run_the_full_operators():
+    """No registered model query asks for fewer trees, rounds, draws, folds or neighbours than its operator's default."""
+    import ast
+
+    from catalog import models
+
+    cuts = {"trees", "term_trees", "depth", "max_rounds", "draws", "k", "neighbours"}
+    calls = [c for c in ast.walk(ast.parse(open(models.__file__).read())) if isinstance(c, ast.Call)]
+    assert not [(c.lineno, w.arg) for c in calls for w in c.keywords if w.arg in cuts]

@@ -19,9 +19,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from creditloom.llm.common import keep_texts, map_texts
+from creditloom.llm.common import keep_texts, map_texts, stage
 from creditloom.llm.linear import linear_svm, platt, sigmoid
 
 #: Families of languages by code. A language that is not listed is a family of its own.
@@ -236,15 +236,17 @@ def _excerpts(text: str) -> list[str]:
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 200) -> LanguageModel:
     """A model from at most ``per_language`` whole texts of each of the ``LANGUAGES`` most frequent languages.
 
-    With many languages each gets ``TEXTS`` divided by their number, 20 at least. The texts are chosen by a hash, alike at every size; rows without language or without a letter teach nothing.
+    With many languages each gets ``TEXTS`` divided by their number, 20 at least. The texts are those of the smallest hashes among a
+    language's distinct ones, alike at every size; rows without language or without a letter teach nothing.
     """
-    given = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    each = min(per_language, max(20, TEXTS // max(1, len(counts))))
-    shares = given.sparkSession.createDataFrame([(r["lang"], 1.5 * each / r["count"]) for r in counts], "lang string, share double")
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
-    drawn = (given.withColumn("draw", draw).join(F.broadcast(shares), "lang").where("draw < share")
-             .groupBy("lang", "draw").agg(F.min("text").alias("text")))  # copies teach once
+    given = (rows.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+             .withColumn("draw", F.pmod(F.xxhash64("text"), F.lit(1 << 60))))
+    texts = stage(given.select("lang", "draw").distinct(), "texts")
+    counts = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    each = min(per_language, max(20, TEXTS // max(1, counts.count())))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    least = texts.join(F.broadcast(counts.select("lang")), "lang").withColumn("place", place).where(F.col("place") <= each).drop("place")
+    drawn = given.join(F.broadcast(least), ["lang", "draw"]).groupBy("lang", "draw").agg(F.min("text").alias("text"))  # copies teach once
 
     def featurise(texts: list) -> list:
         rows, sizes = [], []

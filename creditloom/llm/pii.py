@@ -400,12 +400,11 @@ def examples_of(text: str, most: int = 6) -> list[tuple[bytes, bytes]]:
 
 
 def train(docs: DataFrame, text: str = "text", texts: int = 1500) -> Tagger | None:
-    """A tagger from at most ``texts`` documents that hold a digit or an at sign, chosen by a hash of the text."""
+    """A tagger from at most ``texts`` documents that hold a digit or an at sign, those of the smallest hashes; copies teach once."""
     worth = docs.select(F.col(text).cast("string").alias("text")).where("text rlike '[0-9@]'")
-    count = worth.count()
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
-    drawn = worth.withColumn("draw", draw).where(F.col("draw") < 1.3 * texts / max(1, count))
-    drawn = drawn.groupBy("draw").agg(F.min("text").alias("text"))
+    worth = worth.withColumn("draw", F.pmod(F.xxhash64("text"), F.lit(1 << 60)))
+    least = worth.select("draw").distinct().orderBy("draw").limit(texts)
+    drawn = worth.join(F.broadcast(least), "draw").groupBy("draw").agg(F.min("text").alias("text"))
 
     def make(given: list) -> list:
         found = [examples_of(t) for t in given]
@@ -413,7 +412,7 @@ def train(docs: DataFrame, text: str = "text", texts: int = 1500) -> Tagger | No
         return [pa.array([[{"c": c, "t": t} for c, t in one] for one in found], kind)]
 
     made = map_texts(drawn, ["draw"], "text", make, "windows array<struct<c: binary, t: binary>>")
-    rows = sorted(((r["draw"], r["windows"]) for r in made.limit(2 * texts).collect()), key=lambda r: r[0])[:texts]
+    rows = sorted(((r["draw"], r["windows"]) for r in made.collect()), key=lambda r: r[0])
     return fit([(np.frombuffer(w["c"], np.uint8), np.frombuffer(w["t"], np.int8)) for _, ws in rows for w in ws])
 
 

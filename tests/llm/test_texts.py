@@ -79,6 +79,17 @@ def test_language_of_a_text_does_not_depend_on_its_neighbours(documents):
     assert model.predict(texts) == tuple(map(list, zip(*[(model.predict([t])[0][0], model.predict([t])[1][0]) for t in texts])))
 
 
+def test_languages_of_many_copies_are_learned(spark):
+    """A language whose rows are copies of few texts is learned like one that has each text once."""
+    few = {"fi": ["kaikki ihmiset syntyvät vapaina", "heille on annettu järki ja omatunto"], "pl": ["wszyscy ludzie rodzą się wolni", "są obdarzeni rozumem i sumieniem"]}
+    rows = [(t, lang) for lang, texts in few.items() for t in texts]
+    copies = spark.createDataFrame([(t, lang) for t, lang in rows if lang == "fi"] * 2000 + [r for r in rows if r[1] == "pl"], "text string, lang string")
+    once = langid.train(spark.createDataFrame(rows, "text string, lang string"), per_language=20)
+    model = langid.train(copies, per_language=20)
+    texts = [t for t, _ in rows]
+    assert model.languages == ["fi", "pl"] and model.predict(texts) == once.predict(texts)
+
+
 def test_unknown_languages_and_random_letters_are_rejected(spark):
     """A language that was not learned, and random letters, go; held-out texts of the learned ones stay, short ones too."""
     documents = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from creditloom.llm import checks, langid, mixing, packing, pii, quality, rules, simhash, substrings, tokens, tree_search
+from creditloom.llm import checks, langid, mixing, packing, pii, quality, rules, simhash, substrings, tokens, tree_search, variants
 from creditloom.llm.common import remainder, stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op8_simhash_pigeonring(spark, sf):
     """Near-duplicate groups of all documents by 64-bit fingerprints."""
     groups = simhash.near_groups(_documents(spark, sf))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark, sf):
+    """The form and root of every frequent word of all documents."""
+    return variants.variant_groups(_documents(spark, sf))

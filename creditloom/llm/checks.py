@@ -105,3 +105,18 @@ placed as (select p.*, p.pass * own + start + sum(tokens) over (partition by p.s
            from passes p join starts s on p.source is not distinct from s.source and p.pass = s.pass and p.home = s.home)
 select doc_id, source, pass::integer as pass, tokens, least((spot * mix_blocks) // quota, mix_blocks - 1)::bigint as block, weight
 from placed where spot < quota"""
+
+HARD_NEGATIVES = """
+with r as materialized (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+s as materialized (
+    select a.vec_id as anchor_id, a.label = r.label as same, r.vec_id, list_inner_product(a.q, r.q)::bigint as score
+    from r as a, r where a.vec_id % 100 = 0 and a.vec_id <> r.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (select p.*, vec_id as negative_id, score as negative_score,
+          row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::integer as rank
+      from p join s using (anchor_id) where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10"""

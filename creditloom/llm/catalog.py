@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from creditloom.llm import checks, hard_negatives, langid, mixing, packing, pii, quality, rules, simhash, substrings, tokens, tree_search, variants
+from creditloom.llm import checks, hard_negatives, langid, mixing, packing, pii, quality, rules, set_join, simhash, substrings, tokens, tree_search, variants
 from creditloom.llm.common import remainder, stage_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def op12_hard_negatives(spark, sf):
     """Hard negatives of every vector whose id is divisible by 100, among all vectors."""
     label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
     return hard_negatives.hard_negatives(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 100 == 0, label)
+
+
+@query("op13_jaccard_join")
+def op13_jaccard_join(spark, sf):
+    """Groups of documents whose four-word shingle sets share 85 percent of their union."""
+    return set_join.similar_groups(_documents(spark, sf))

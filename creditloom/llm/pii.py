@@ -114,25 +114,23 @@ def char_classes(text: str) -> np.ndarray:
     return np.where(points < 256, _CLASS[np.minimum(points, 255)], _OTHER_LETTER).astype(np.uint8)
 
 
-def squash(x: np.ndarray, square: np.ndarray | None = None, low: np.ndarray | None = None) -> np.ndarray:
-    """The network's own kind of tanh, in place: x (27 + x^2) / (27 + 9 x^2), which reaches 1 at 3 without a bend.
-
-    Two arrays of the shape may be lent for the work.
-    """
-    np.clip(x, -3.0, 3.0, out=x)
-    square = np.multiply(x, x, out=square)
-    low = np.multiply(square, 9.0, out=low)
-    low += 27.0
-    x /= low
-    square += 27.0
-    x *= square
-    return x
+def squash(u: np.ndarray, work: np.ndarray | None = None) -> np.ndarray:
+    """The network's own kind of tanh(2u), in place: u (2 - |u|), which reaches 1 at 1 without a bend. ``work``: an array lent for it."""
+    np.clip(u, -1.0, 1.0, out=u)
+    work = np.abs(u, out=work)
+    np.subtract(2.0, work, out=work)
+    u *= work
+    return u
 
 
-def slope(x: np.ndarray) -> np.ndarray:
+def slope(u: np.ndarray) -> np.ndarray:
     """The derivative of :func:`squash`."""
-    square = np.minimum(x * x, 9.0)
-    return ((9.0 - square) / (9.0 + 3.0 * square)) ** 2
+    return 2.0 * np.maximum(1.0 - np.abs(u), 0.0)
+
+
+#: By what inputs are multiplied before :func:`squash`: a gate is a tanh of half, moved to 0 to 1.
+_SCALE = np.r_[np.full(3 * HIDDEN, 0.25, np.float32), np.full(HIDDEN, 0.5, np.float32)]
+_BACK = _SCALE * np.r_[np.full(3 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)]
 
 
 @dataclass
@@ -162,10 +160,9 @@ class Tagger:
     def run(self, classes: np.ndarray, keep: bool = False):
         """Hidden states of both directions for windows (time, windows) of classes."""
         states, memory = [], []
-        half = np.r_[np.full(3 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)]  # a gate is a tanh of half, moved to 0 to 1
         for d in range(2):
             seen = classes if d == 0 else classes[::-1]
-            table, weight = self.inputs[d] * half, self.recurrent[d] * half
+            table, weight = self.inputs[d] * _SCALE, self.recurrent[d] * _SCALE
             h = np.zeros((seen.shape[1], HIDDEN), np.float32)
             c, hs, kept = np.zeros_like(h), [], []
             for row in seen:
@@ -179,9 +176,9 @@ class Tagger:
                 i, f, o, g = gate[:, :HIDDEN], gate[:, HIDDEN:2 * HIDDEN], gate[:, 2 * HIDDEN:], z[:, 3 * HIDDEN:]
                 before = c
                 c = f * c + i * g
-                t = squash(c.copy())
+                t = squash(0.5 * c)
                 if keep:
-                    kept.append((h, before, i, f, o, g, t, turned, slope(c)))
+                    kept.append((h, before, i, f, o, g, t, turned, 0.5 * slope(0.5 * c)))
                 h = o * t
                 hs.append(h)
             states.append(np.stack(hs if d == 0 else hs[::-1]))
@@ -191,27 +188,26 @@ class Tagger:
     def read(self, classes: np.ndarray) -> np.ndarray:
         """Emissions (time, tag, windows) of windows (time, windows) of classes: :meth:`run` and :meth:`emissions` without keeping the states."""
         times, n = classes.shape
-        half = np.r_[np.full(3 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)]
         emit = np.empty((times, TAGS, n), np.float32)
         emit[:] = self.bias[:, None]
-        z, wide, wider = (np.empty((4 * HIDDEN, n), np.float32) for _ in range(3))
-        part, square, low, scores = *(np.empty((HIDDEN, n), np.float32) for _ in range(3)), np.empty((TAGS, n), np.float32)
+        z, wide = (np.empty((4 * HIDDEN, n), np.float32) for _ in range(2))
+        part, narrow, scores = np.empty((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32), np.empty((TAGS, n), np.float32)
         for d in range(2):
-            table, weight = self.inputs[d] * half, np.ascontiguousarray((self.recurrent[d] * half).T)
+            table, weight = self.inputs[d] * _SCALE, np.ascontiguousarray((self.recurrent[d] * _SCALE).T)
             output = np.ascontiguousarray(self.output[d * HIDDEN:(d + 1) * HIDDEN].T)
             h, c = np.zeros((HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32)
             for t in range(times) if d == 0 else range(times - 1, -1, -1):
                 np.matmul(weight, h, out=z)
                 z += table.take(classes[t], axis=0).T
-                squash(z, wide, wider)
+                squash(z, wide)
                 gate = z[:3 * HIDDEN]
                 gate *= 0.5
                 gate += 0.5
                 c *= z[HIDDEN:2 * HIDDEN]
                 np.multiply(z[:HIDDEN], z[3 * HIDDEN:], out=part)
                 c += part
-                np.copyto(part, c)
-                squash(part, square, low)
+                np.multiply(c, 0.5, out=part)
+                squash(part, narrow)
                 np.multiply(z[2 * HIDDEN:3 * HIDDEN], part, out=h)
                 emit[t] += np.matmul(output, h, out=scores)
         return emit
@@ -297,7 +293,7 @@ def _gradients(model: Tagger, classes: np.ndarray, tags: np.ndarray) -> list[np.
             dc = dh * o * bend + next_c
             dz = np.concatenate([dc * g, dc * before, dh * squashed, dc * i], axis=1)
             dz *= turned
-            dz[:, :3 * HIDDEN] *= 0.25
+            dz *= _BACK
             np.add.at(table, seen_rows[t], dz)
             weight += h.T @ dz
             next_h, next_c = dz @ model.recurrent[d].T, dc * f

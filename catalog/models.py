@@ -6,6 +6,7 @@ import uuid
 
 from catalog.base import f32, f32_all, query, sql_f32, table
 from catalog.credit_tables import credit_table
+from creditloom.functions.naming import numeric_columns
 from creditloom.functions.text import with_text
 from creditloom.operators import boosting, linear
 from creditloom.operators.aggregate import Subset, aggregate, parse_spec
@@ -192,7 +193,7 @@ def recursive_select(spark, sf):
 def model_impute(spark, sf):
     """Missing scores filled one after the other by boosted trees."""
     rows = application.cleaned(credit_table(spark, sf, "application"), True)
-    inputs = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "DAYS_EMPLOYED", "OWN_CAR_AGE"]
+    inputs = numeric_columns(rows, without=[*specs.EXT_SOURCES, *specs.REGION_RATINGS, "SK_ID_CURR", "TARGET"])
     filled = boosting.impute_chain(rows, [], specs.IMPUTE_ORDER, inputs)[0]
     return filled.select("SK_ID_CURR", *specs.EXT_SOURCES)
 

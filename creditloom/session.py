@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,10 @@ def materialise(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read again: cuts the lineage, survives lost executors."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,8 +10,9 @@ one class. Every reach but its class's first repeats an earlier one whole. A cla
 part: its single spans are compared with those of all other classes. Repeated spans and reaches of a document
 join to maximal repeats, which are cut.
 
-Hashes of words, grams, reaches and spans are all differences of running sums of a polynomial modulo 2**64, so whole
-texts are hashed by a few array operations. Equal documents are one: later copies go whole.
+Words are hashed by XXH64 under two seeds. Hashes of grams, reaches and spans (at most 32 words, so no pattern of words is
+long enough to cancel out) are differences of running sums of a polynomial in them, a few array operations for whole
+texts. Equal documents are one: later copies go whole.
 """
 
 from __future__ import annotations
@@ -24,27 +25,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from creditloom.llm.common import find_words, map_texts, slices, stage
+from creditloom.llm.wordhash import mixed, split_words, word_hashes
 
 SPAN, SEED = 20, 8
-#: Bytes of text hashed at once: each takes some 60 bytes of memory.
+#: Bytes of text hashed at once.
 PART_BYTES = 1 << 20
 _NO_ID = (1 << 63) - 1
 
 
-def _blank() -> np.ndarray:
-    table = np.zeros(256, dtype=bool)
-    table[[32, 9, 10, 11, 12, 13]] = True
-    return table
-
-
-_BLANK = _blank()
-
-
 @cache
-def _base(salt: int) -> tuple[int, int, int, int]:
-    """An odd base for bytes, one for words, and their inverses modulo 2**64."""
-    bases = [(0x9E3779B97F4A7C15 * (2 * salt + 3) | 1) & (2 ** 64 - 1), (0xD6E8FEB86659FD93 * (2 * salt + 5) | 5) & (2 ** 64 - 1)]
-    return bases[0], bases[1], pow(bases[0], -1, 2 ** 64), pow(bases[1], -1, 2 ** 64)
+def _base(salt: int) -> tuple[int, int]:
+    """An odd base for words, and its inverse modulo 2**64."""
+    base = (0xD6E8FEB86659FD93 * (2 * salt + 5) | 5) & (2 ** 64 - 1)
+    return base, pow(base, -1, 2 ** 64)
 
 
 @cache
@@ -59,41 +52,22 @@ def _pow(base: int, n: int) -> np.ndarray:
     return _powers(base, 1 << max(10, int(n).bit_length()))[:n]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Words:
     """The words of some texts in one row: where each text's words begin, and hashes of any run of words."""
 
     def __init__(self, texts: list[str | None], salts: int = 1):
-        encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        data = np.frombuffer(b" ".join([*encoded, b""]), dtype=np.uint8)  # a blank after each text
-        solid = ~_BLANK[data]
-        edge = np.diff(solid.view(np.int8), prepend=np.int8(0))
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        closes = np.cumsum([len(e) + 1 for e in encoded], dtype=np.int64)
-        self.bounds = np.r_[0, np.searchsorted(begin, closes)]
-        self.sums, self.salts = [], range(salts)
-        for salt in self.salts:
-            byte_base, word_base, byte_back, _ = _base(salt)
-            table = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * salt))
-            run = np.zeros(len(data) + 1, dtype=np.uint64)
-            np.cumsum(table[data] * _pow(byte_base, len(data)), out=run[1:])
-            word = _mixed((run[end] - run[begin]) * _pow(byte_back, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
-            total = np.zeros(len(word) + 1, dtype=np.uint64)
-            np.cumsum(word * _pow(word_base, len(word)), out=total[1:])
+        words, self.bounds = split_words(texts)
+        self.sums = []
+        for salt in range(salts):
+            total = np.zeros(len(words) + 1, dtype=np.uint64)
+            np.cumsum(word_hashes(words, 42 + salt) * _pow(_base(salt)[0], len(words)), out=total[1:])
             self.sums.append(total)
 
     def hashes(self, start: np.ndarray, length, salt: int = 0) -> np.ndarray:
         """Hash of the ``length`` words from each ``start``."""
-        total, back = self.sums[salt], _base(salt)[3]
+        total, back = self.sums[salt], _base(salt)[1]
         value = (total[start + length] - total[start]) * _pow(back, len(total) + 1)[start]
-        return _mixed(value + np.asarray(length, dtype=np.uint64))
+        return mixed(value + np.asarray(length, dtype=np.uint64))
 
 
 def anchors(words: Words, span: int = SPAN, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -204,9 +178,10 @@ def repeated_ranges(docs: DataFrame, doc_id: str, text: str, span: int = SPAN, s
     read = given.select("id", "mark", words.alias("words"))
     rows = stage(read.select("id", "mark", F.size("words").cast("bigint").alias("n_words"), F.sha2(F.array_join("words", " "), 256).alias("digest"))
                  .distinct(), "rows")  # rows that share id and text are one document
-    firsts = rows.groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("first"))
-    known = rows.join(firsts, "digest").select("id", "mark", "n_words", (F.struct("id", "mark") != F.col("first")).alias("again"))
-    known = stage(known.select("id", "mark", "n_words", (F.col("again") & (F.col("n_words") >= span)).alias("copy")), "documents")
+    # staged, so that a digest of many documents is dealt out where it is joined
+    firsts = stage(rows.groupBy("digest").agg(F.min(F.struct("id", "mark")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
+    again = F.coalesce(F.struct("id", "mark") != F.col("first"), F.lit(False))
+    known = stage(rows.join(firsts, "digest", "left").select("id", "mark", "n_words", (again & (F.col("n_words") >= span)).alias("copy")), "documents")
     seeded = map_texts(given, ["id", "mark"], "body", partial(_seeds, span, seed), "keys array<bigint>, first array<int>, spans array<int>", PART_BYTES)
     own = known.where(~F.col("copy") & (F.col("n_words") >= span)).select("id", "mark")
     found = stage(seeded.where(F.size("keys") > 0).join(own, ["id", "mark"], "left_semi"), "anchors")

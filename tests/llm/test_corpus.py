@@ -75,6 +75,16 @@ def test_repeated_spans(odd, empty, documents):
     assert substrings.dedup_spans(empty).count() == 0
 
 
+def test_words_of_one_pattern_are_told_apart(spark):
+    pattern = "a"
+    for _ in range(12):  # the pattern under which sums modulo 2**64 are blind
+        pattern += pattern.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(19)]
+    rows = [(i, " ".join([*words, x])) for i, x in enumerate((pattern, pattern.translate(str.maketrans("ab", "ba")), pattern[:2048] + "c" * 2048, pattern))]
+    got = substrings.dedup_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(0, 20, 0), (1, 20, 0), (2, 20, 0), (3, 20, 20)]
+
+
 def test_anchors_are_chosen_by_content():
     text = "the quick brown fox jumps over a lazy dog and runs along the river bank to find some food for its young ones today"
     words = substrings.Words([text, "x " + text, None, "short"])

@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,8 @@ find_words = re.compile(WORD).findall
 
 #: Bytes of text that one call of an Arrow function gets at once (a longer text comes alone).
 SLICE_BYTES = 1 << 20
+#: Bits of a filter of keys: a fuller one lets more through, never fewer.
+FILTER_BITS = 1 << 24
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -74,6 +77,23 @@ def map_texts(df: DataFrame, keep: list[str], text: str, fn: Callable[[list], li
     return given.mapInArrow(run, schema).toDF(*keep, *StructType.fromDDL(fields).names)
 
 
+def bit_filter(keys: DataFrame) -> bytes:
+    """One bit for each value that the only column of ``keys`` takes modulo ``FILTER_BITS``: of a fixed size, however many there are."""
+    place = F.expr(f"(`{keys.columns[0]}` & {FILTER_BITS - 1}L) + 1")  # bitmap buckets count from 1
+    found = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in found:
+        start = (r["bucket"] - 1) * 4096
+        bits[start:start + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits.tobytes()
+
+
+def in_filter(bits: bytes, keys: np.ndarray) -> np.ndarray:
+    """Which keys the filter may hold: all that it was made of, and some others."""
+    place = keys & (FILTER_BITS - 1)
+    return np.frombuffer(bits, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+
+
 def plain_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with its columns named by place, and the new name of each: helper columns then clash with none."""
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}

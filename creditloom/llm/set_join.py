@@ -6,7 +6,8 @@ them, so sets that meet in a subset of c shingles link exactly if a + b is small
 linked to the smallest of them or to none, and one link a set suffices for the groups.
 
 Large sets are heavy and scan inverted lists, those of their rarest shingles: as many as a linked set cannot miss all
-of. Rarity is read from a sketch of fixed size, which only orders shingles. The boundary between light and heavy is where the
+of, and some more, so that it shares several. A set that meets others in fewer lists is left out before any pair is made.
+Rarity is read from a sketch of fixed size, which only orders shingles. The boundary between light and heavy is where the
 counted cost of enumerating sets up to a size and of scanning lists beyond it is least.
 
 A list may hold a third of all sets, near copies mostly. Its sets are first compared with a few centres, in rounds; then only
@@ -27,7 +28,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from creditloom.llm.common import map_texts, slices, stage
+from creditloom.llm.common import bit_filter, in_filter, map_texts, slices, stage
 from creditloom.llm.components import components
 from creditloom.llm.wordhash import mixed, shingle_hashes, split_words, word_hashes
 
@@ -35,6 +36,8 @@ from creditloom.llm.wordhash import mixed, shingle_hashes, split_words, word_has
 SHINGLE, PERCENT = 4, 85
 #: Cells of the sketch of shingle counts (as a power of two), and cells of one of its rows.
 SKETCH_BITS, SKETCH_ROW = 20, 4096
+#: Lists that a set of many shingles shares at least with any set that it links to (a tenth of its shingles if that is less).
+LEAD = 16
 #: Sets of more shingles are never light: their subsets run to millions.
 LIGHT_MOST = 40
 #: Rounds of centres, centres of a list in a round, and the share of lists that a round looks at.
@@ -46,6 +49,19 @@ def shared_least(n, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def lead(n: int) -> int:
+    """Of the rarest ``n - shared_least(n) + lead(n)`` shingles of a set, in one order for all sets, linked sets of ``n`` share so many.
+
+    A pair of different sizes shares those of the smaller one.
+    """
+    return max(1, min(LEAD, n // 10))
+
+
+def head(n: int, percent: int = PERCENT) -> int:
+    """The rarest shingles whose lists a set of ``n`` is in."""
+    return n - shared_least(n, percent) + lead(n)
+
+
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
     """The distinct shingles of each text as sorted hashes; none without words."""
     words, bounds = split_words(texts, lower=True)
@@ -105,14 +121,18 @@ def _lists(parts: list, kind: pa.DataType) -> pa.Array:
 
 def _describe(size: int, percent: int, sketch: np.ndarray, texts: list) -> list:
     sets = shingle_sets(texts, size)
-    heads = [rarest(s, sketch, len(s) - shared_least(len(s), percent) + 1) if len(s) else s for s in sets]
+    heads = [rarest(s, sketch, head(len(s), percent)) if len(s) else s for s in sets]
     small = [s if len(s) <= LIGHT_MOST else s[:0] for s in sets]
     return [pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
             _lists(heads, pa.int64()), _lists(small, pa.int64())]
 
 
-def _whole(size: int, texts: list) -> list:
-    return [_lists(shingle_sets(texts, size), pa.int64())]
+def _whole(size: int, known: bytes, batches):
+    """The sets of the rows (rid, body) that the filter knows."""
+    for batch in batches:
+        chosen = batch.filter(pa.array(in_filter(known, batch.column(0).to_numpy())))
+        for part in slices(chosen, 1):
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(shingle_sets(part.column(1).to_pylist(), size), pa.int64())], names=["rid", "set"])
 
 
 def ways(n: int, percent: int = PERCENT) -> int:
@@ -178,11 +198,17 @@ def _apart(x: str, y: str, most: int, percent: int) -> str:
 def heavy_links(classes: DataFrame, bodies: DataFrame, light: DataFrame, most: int, size: int, percent: int = PERCENT) -> DataFrame:
     """(a, b): with ``light``, links that join all sets which any links join. ``bodies``: (rid, body) of the documents."""
     entries = classes.where(F.col("size") >= shared_least(most + 1, percent)).select("id", "size", F.explode("head").alias("key"))
-    lists = stage(entries.groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("top")).where(f"n > 1 and top > {most}").select("key"), "lists")
-    shared = stage(entries.join(lists, "key"), "entries")
+    shared, least = entries, f"greatest(1, least({LEAD}, (({percent} * size + 99) div 100) div 10))"
+    for _ in range(2):  # sets left out shorten lists, which leaves out more
+        lists = stage(shared.groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("top")).where(f"n > 1 and top > {most}").select("key"), "lists")
+        met = shared.join(lists, "key")
+        if shared is entries:
+            met = stage(met, "entries")
+        often = stage(met.groupBy("id", "size").agg(F.count("*").alias("n")).where(f"n >= {least}").select("id"), "often")
+        shared = stage(met.join(often, "id").select("id", "size", "key"), "entries")
     own = stage(shared.select("id").distinct().join(classes.select("id", "rid"), "id"), "owners")
-    read = map_texts(bodies.join(own, "rid"), ["id"], "body", partial(_whole, size), "set array<bigint>")
-    sets = stage(read.dropDuplicates(["id"]), "sets")
+    read = bodies.mapInArrow(partial(_whole, size, bit_filter(own.select("rid"))), "rid bigint, set array<bigint>")
+    sets = stage(read.join(own, "rid").dropDuplicates(["rid"]).select("id", "set"), "sets")
     found = light
 
     def grouped(rows: DataFrame) -> DataFrame:

@@ -19,10 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from creditloom.llm.common import map_texts, stage
+from creditloom.llm.common import bit_filter, in_filter, map_texts, stage
 
-#: Symbols of the reduced alphabet, and bits of the filter of reduced words (a fuller one keeps more ways, never fewer).
-SYMBOLS, FILTER_BITS = 8, 1 << 24
+#: Symbols of the reduced alphabet.
+SYMBOLS = 8
 #: Of so many (document, run) pairs one loses a letter.
 ERRORS = 199
 #: A word has so many letters and occurrences at least; its form is so many times as frequent.
@@ -120,29 +120,15 @@ def _own(words: list) -> list:
 
 def _ways(known: bytes, words: list) -> list:
     """Of each word's reduced neighbourhood the keys that the filter knows."""
-    bits, near = np.frombuffer(known, np.uint8), []
-    for keys in map(reduced_neighbours, words):
-        place = keys & (FILTER_BITS - 1)
-        near.append(keys[bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0])
+    near = [keys[in_filter(known, keys)] for keys in map(reduced_neighbours, words)]
     offsets = np.cumsum([0, *map(len, near)]).astype(np.int32)
     return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(near) if near else np.zeros(0, np.int64)))]
 
 
-def key_filter(keys: DataFrame) -> bytes:
-    """One bit for each value that ``key`` takes modulo ``FILTER_BITS``: of a fixed size, whatever the vocabulary's."""
-    place = F.expr(f"(`key` & {FILTER_BITS - 1}L) + 1")  # bitmap buckets count from 1
-    found = keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in found:
-        start = (r["bucket"] - 1) * 4096
-        bits[start:start + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return bits.tobytes()
-
-
 def near_pairs(words: DataFrame) -> DataFrame:
     """(id, near, near_n): every ordered pair of ``words`` (id, word, n) that differ in exactly one edit; ``near`` is a word."""
     reduced = stage(map_texts(words, ["id"], "word", _own, "key bigint", 1 << 18), "reduced")
-    known = key_filter(reduced)
+    known = bit_filter(reduced.select("key"))
     ways = map_texts(words, ["id"], "word", partial(_ways, known), "keys array<bigint>", 1 << 16).select("id", F.explode("keys").alias("key"))
     met = ways.join(reduced.withColumnRenamed("id", "other"), "key").where("id <> other").select("id", "other")
     one, two = words.select("id", "word"), words.select(F.col("id").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n"))

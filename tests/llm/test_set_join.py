@@ -128,6 +128,20 @@ def test_shingles_are_those_of_the_words():
     assert np.diff(cuts).tolist() == [2, 1, 1, 1, 0, 0, 0, 5, 1]
 
 
+def test_linked_sets_share_their_lead():
+    rng = np.random.default_rng(3)
+    for n in [*range(14, 60), 100, 160, 161, 400]:
+        assert sj.lead(n) <= sj.shared_least(n) and sj.head(n) <= n
+        for m in range(sj.shared_least(n), n + 1, max(1, n // 20)):
+            common = -(-85 * (n + m) // 185)
+            if common > m:
+                continue
+            order = rng.permutation(n + m - common)  # a rank for every shingle of both; the first ones are in both
+            a, b = np.r_[0:common, common:n], np.r_[0:common, n:n + m - common]
+            one, two = (set(v[np.argsort(order[v])][:sj.head(len(v))].tolist()) for v in (a, b))
+            assert len(one & two) >= sj.lead(m) >= sj.lead(sj.shared_least(n))
+
+
 def test_the_boundary_is_the_cheapest(spark):
     rows = planted(4)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")

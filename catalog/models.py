@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from catalog.base import f32, f32_all, query, sql_f32, table
+from catalog.base import f32, f32_all, forced_limit, query, sql_f32, table
 from catalog.credit_tables import credit_table
 from creditloom.functions.naming import numeric_columns
 from creditloom.functions.text import with_text
-from creditloom.operators import boosting, linear
+from creditloom.operators import boosting, isotonic, linear, trees
 from creditloom.operators.aggregate import Subset, aggregate, parse_spec
 from creditloom.operators.folds import stratified_folds, with_class_weight
 from creditloom.operators.neighbours import neighbour_mean
@@ -91,6 +91,76 @@ def stratified_fold_rows(spark, sf):
     return stratified_folds(_customers(spark, sf), ["c_custkey"], "target", 3, seed=33).select("c_custkey", "target", "fold")
 
 
+_STUMP = f"""
+with c as ({_CUSTOMERS}), k as (select c_custkey, c_nationkey::double as a, gap::double as b, c_acctbal::double as y from c),
+m as (select avg(y) as base from k), g as (select k.*, base, base - y as g from k, m),
+v as (select c_custkey, 0 as col, a as x, g from g union all select c_custkey, 1, b, g from g),
+t as (select distinct col, x as cut, s.to_left from v, (values (0), (1)) s(to_left) where x is not null),
+w as (select t.col, cut, to_left, sum(g) filter (where l) as gl, count(*) filter (where l) as nl, sum(g) filter (where not l) as gr, count(*) filter (where not l) as nr
+      from (select v.*, t.cut, t.to_left, case when x is null then to_left = 1 else x <= cut end as l from v join t on v.col = t.col) as t group by all),
+best as (select *, gl / (nl + 1) as wl, gr / (nr + 1) as wr from w where nl > 0 and nr > 0 order by gl * gl / (nl + 1) + gr * gr / (nr + 1) desc, col, to_left, cut limit 1)
+select c_custkey, {sql_f32("base - 0.1 * case when (case when col = 0 then a else b end) is null then (case when to_left = 1 then wl else wr end) when (case when col = 0 then a else b end) <= cut then wl else wr end", "prediction")}
+from g, best"""
+
+
+@query("boosted_stump", _STUMP)
+def boosted_stump(spark, sf):
+    """One split over two columns, one with missing values: the best of all cuts and of both sides for the missing ones."""
+    customers = _customers(spark, sf)
+    model = trees.fit(customers, ["c_nationkey", "gap"], "c_acctbal", trees.Settings(trees=1, depth=1))
+    return model.predict(customers, "prediction").select("c_custkey", f32("prediction").alias("prediction"))
+
+
+_NEWTON = f"""
+with recursive c as ({_CUSTOMERS}), m as (select avg(c_acctbal) as ma, stddev_pop(c_acctbal) as sa from c),
+k as materialized (select (c_acctbal - ma) / sa as x, case when c_custkey % 3 = 0 then 1 - target else target end as y from c, m),
+w as materialized (select x, y, (select count(*) from k) / (2.0 * count(*) over (partition by y)) as w from k),
+fit(step, a, b) as (
+    select 0, 0.0::double, 0.0::double
+    union all
+    select step + 1, a - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), b - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+    from (select step, a, b, sum(w * (p - y) * x) / sum(w) + 0.05 * a as g1, sum(w * (p - y)) / sum(w) as g2, sum(w * p * (1 - p) * x * x) / sum(w) + 0.05 as h11,
+                 sum(w * p * (1 - p) * x) / sum(w) as h12, sum(w * p * (1 - p)) / sum(w) as h22
+          from (select fit.*, w.*, 1 / (1 + exp(-(a * x + b))) as p from fit, w where step < 25) as t group by step, a, b))
+select round(a, 6) as slope, round(b, 6) as shift from fit where step = 25"""
+
+
+@query("logistic_optimum", _NEWTON)
+def logistic_optimum(spark, sf):
+    """Coefficient and intercept of a weighted, penalised logistic fit of one input."""
+    given = _customers(spark, sf).withColumn("target", F.expr("if(c_custkey % 3 = 0, 1 - target, target)"))
+    rows = linear.prepare(given, linear.Scaler.fit(given, ["c_acctbal"]), "c_custkey", "target")
+    model = linear.logistic(0.05).fit(rows)
+    return spark.createDataFrame([(round(float(model.coefficients[0]), 6), round(model.intercept, 6))], "slope double, shift double")
+
+
+_RISING = """
+with p as (select floor(c_acctbal / 250) as x, sum((c_custkey % 7 < 3 + c_acctbal / 4000)::int) as s, count(*) as n from customer group by 1),
+q as (select *, row_number() over (order by x) as i, sum(s) over (order by x) as cs, sum(n) over (order by x) as cn from p),
+r as (select k.x, k.i, lo.i as a, min((hi.cs - lo.cs + lo.s) / (hi.cn - lo.cn + lo.n)::double) as least
+      from q as k join q as lo on lo.i <= k.i join q as hi on hi.i >= k.i group by k.x, k.i, lo.i),
+f as (select x, max(least) as value from r group by x)
+select min(x)::double as low, max(x)::double as high, round(value, 9) as value from f group by round(value, 9)"""
+
+
+@query("isotonic_blocks", _RISING)
+def isotonic_curve(spark, sf):
+    """Blocks of the rising curve through a noisy label, from slices of a few points."""
+    rows = table(spark, sf, "customer").selectExpr("floor(c_acctbal / 250) as x", "cast(c_custkey % 7 < 3 + c_acctbal / 4000 as int) as y")
+    blocks = isotonic.isotonic_blocks(rows, "x", "y", points=forced_limit(rows, 60))
+    return blocks.select("low", "high", F.round("value", 9).alias("value"))
+
+
+@query("svm_gaps", f"""
+with g as (select unnest(range(4)) as fold) select fold::integer as fold, 15::bigint as fits, true as closed from g""")
+def svm_gaps(spark, sf):
+    """How many of the hinge fits of a search are proven to be within 1e-4 of the least loss, by fold."""
+    train, _ = _sets(spark, sf)
+    rows = linear.prepare(train, linear.Scaler.fit(train, _FEATURES), "c_custkey", "target")
+    tuned = linear.random_search(rows, linear.svm, linear.SVM_GRID, linear.SEARCH_DRAWS, linear.SVM_SEARCH_SEED)
+    return tuned.search.groupBy("fold").agg(F.count("*").alias("fits"), (F.max("gap") <= 1e-4).alias("closed"))
+
+
 _HISTORY = parse_spec("o_totalprice: mean max min sum\no_orderkey: count")
 
 
@@ -177,7 +247,7 @@ def feature_importance_topk(spark, sf):
     train, _ = _sets(spark, sf)
     rows = linear.prepare(train, linear.Scaler.fit(train, _FEATURES), "c_custkey", "target")
     model = linear.logistic(0.01).fit(rows)
-    return linear.top_importances(spark, _FEATURES, model.coefficients.toArray(), 5)
+    return linear.top_importances(spark, _FEATURES, model.coefficients.tolist(), 5)
 
 
 @query("recursive_select")

@@ -11,7 +11,8 @@ Rarity is read from a sketch of fixed size, which only orders shingles. The boun
 counted cost of enumerating sets up to a size and of scanning lists beyond it is least.
 
 A list may hold a third of all sets, near copies mostly. Its sets are first compared with a few centres, in rounds; then only
-pairs in different groups are left, and all of those are compared. No link between groups is lost.
+pairs in different groups are left, and all of those are compared. No link between groups is lost. A pair is made only
+where the list could be the first that both share, and where bitmaps of the two sets differ in no more bits than linked sets may.
 Sets are of 64-bit hashes; links are decided on the whole sets, equal sets are one.
 """
 
@@ -38,10 +39,12 @@ SHINGLE, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_ROW = 20, 4096
 #: Lists that a set of many shingles shares at least with any set that it links to (a tenth of its shingles if that is less).
 LEAD = 16
+#: 64-bit words of a set's bitmap, and earlier shingles that an entry knows, to make a pair in one list only.
+MAP_WORDS, BEFORE = 32, 32
 #: Sets of more shingles are never light: their subsets run to millions.
 LIGHT_MOST = 40
 #: Rounds of centres, centres of a list in a round, and the share of lists that a round looks at.
-ROUNDS, CENTRES, LIST_SHARE = 3, 8, 8
+ROUNDS, CENTRES, LIST_SHARE = 3, 8, 2
 
 
 def shared_least(n, percent: int = PERCENT):
@@ -119,12 +122,20 @@ def _lists(parts: list, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.uint64).view(np.int64), kind))
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A bitmap of each set, (sets, ``MAP_WORDS``): two of them differ in at most as many bits as their sets in shingles."""
+    bits = np.zeros((len(sets), 64 * MAP_WORDS), np.uint8)
+    for row, one in zip(bits, sets):
+        row[(mixed(one) % np.uint64(64 * MAP_WORDS)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
 def _describe(size: int, percent: int, sketch: np.ndarray, texts: list) -> list:
     sets = shingle_sets(texts, size)
     heads = [rarest(s, sketch, head(len(s), percent)) if len(s) else s for s in sets]
     small = [s if len(s) <= LIGHT_MOST else s[:0] for s in sets]
     return [pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-            _lists(heads, pa.int64()), _lists(small, pa.int64())]
+            _lists(heads, pa.int64()), _lists(small, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(bitmaps(sets).ravel()), MAP_WORDS).cast(pa.list_(pa.int64()))]
 
 
 def _whole(size: int, known: bytes, batches):
@@ -190,14 +201,21 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def _apart(x: str, y: str, most: int, percent: int) -> str:
-    """SQL: two entries of a list in different groups whose sizes may link, one of them heavy."""
-    return (f"{x}.root <> {y}.root and 100 * least({x}.size, {y}.size) >= {percent} * greatest({x}.size, {y}.size)"
-            f" and greatest({x}.size, {y}.size) > {most}")
+    """SQL: two entries of a list in different groups, one of them heavy, that may link and share no earlier list."""
+    share = f"(({percent} * ({x}.size + {y}.size) + {99 + percent}) div {100 + percent})"
+    return (f"{x}.root <> {y}.root and greatest({x}.size, {y}.size) > {most} and least({x}.size, {y}.size) >= {share}"
+            f" and {x}.at <= {x}.size - {share} and {y}.at <= {y}.size - {share}")
+
+
+def _alike(x: str, y: str, percent: int) -> str:
+    """SQL: the bitmaps of two entries differ in no more bits than their sets may in shingles."""
+    bits = " + ".join(f"bit_count({x}.m{i} ^ {y}.m{i})" for i in range(MAP_WORDS))
+    return f"{bits} <= {x}.size + {y}.size - 2 * (({percent} * ({x}.size + {y}.size) + {99 + percent}) div {100 + percent})"
 
 
 def heavy_links(classes: DataFrame, bodies: DataFrame, light: DataFrame, most: int, size: int, percent: int = PERCENT) -> DataFrame:
     """(a, b): with ``light``, links that join all sets which any links join. ``bodies``: (rid, body) of the documents."""
-    entries = classes.where(F.col("size") >= shared_least(most + 1, percent)).select("id", "size", F.explode("head").alias("key"))
+    entries = classes.where(F.col("size") >= shared_least(most + 1, percent)).select("id", "size", F.posexplode("head").alias("at", "key"))
     shared, least = entries, f"greatest(1, least({LEAD}, (({percent} * size + 99) div 100) div 10))"
     for _ in range(2):  # sets left out shorten lists, which leaves out more
         lists = stage(shared.groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("top")).where(f"n > 1 and top > {most}").select("key"), "lists")
@@ -205,18 +223,20 @@ def heavy_links(classes: DataFrame, bodies: DataFrame, light: DataFrame, most: i
         if shared is entries:
             met = stage(met, "entries")
         often = stage(met.groupBy("id", "size").agg(F.count("*").alias("n")).where(f"n >= {least}").select("id"), "often")
-        shared = stage(met.join(often, "id").select("id", "size", "key"), "entries")
+        shared = stage(met.join(often, "id").select("id", "size", "at", "key"), "entries")
     own = stage(shared.select("id").distinct().join(classes.select("id", "rid"), "id"), "owners")
     read = bodies.mapInArrow(partial(_whole, size, bit_filter(own.select("rid"))), "rid bigint, set array<bigint>")
     sets = stage(read.join(own, "rid").dropDuplicates(["rid"]).select("id", "set"), "sets")
     found = light
+    shared = shared.where(f"at <= size - (({percent} * size + 99) div 100)")  # further lists only served to leave sets out
+    maps = classes.select("id", "head", *[F.col("map")[i].alias(f"m{i}") for i in range(MAP_WORDS)])
 
     def grouped(rows: DataFrame) -> DataFrame:
         roots = stage(components(found), "roots").withColumnRenamed("node", "id")
         return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
     for r in range(ROUNDS):
-        rows = stage(grouped(shared.where(F.pmod(F.xxhash64("key"), F.lit(LIST_SHARE)) == r)), "round")
+        rows = stage(grouped(shared.where(F.pmod(F.xxhash64("key"), F.lit(LIST_SHARE)) == r % LIST_SHARE)), "round")
         chance = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(r)), "id")
         centres = rows.withColumn("n", F.row_number().over(chance)).where(F.col("n") <= CENTRES).drop("n")
         met = rows.alias("x").join(stage(centres, "centres").alias("y"), F.expr(f"x.key = y.key and {_apart('x', 'y', most, percent)}"))
@@ -225,8 +245,11 @@ def heavy_links(classes: DataFrame, bodies: DataFrame, light: DataFrame, most: i
             found = stage(found.union(linked(pairs, sets, percent)), "links")
     rows = stage(grouped(shared), "entries")
     mixed_lists = stage(rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key"), "lists")
-    rows = stage(rows.join(mixed_lists, "key"), "entries")
-    met = rows.alias("x").join(rows.alias("y"), F.expr(f"x.key = y.key and x.id < y.id and {_apart('x', 'y', most, percent)}"))
+    rows = rows.join(mixed_lists, "key").join(maps, "id")
+    rows = stage(rows.withColumn("before", F.expr(f"slice(head, 1, least(at, {BEFORE}))")).drop("head"), "entries")
+    may = (f"x.key = y.key and x.id < y.id and {_apart('x', 'y', most, percent)} and {_alike('x', 'y', percent)}"
+           " and not arrays_overlap(x.before, y.before)")  # an earlier list makes the pair
+    met = rows.alias("x").join(rows.alias("y"), F.expr(may))
     pairs = stage(met.selectExpr("x.id as a", "y.id as b").distinct(), "pairs")
     return found.union(linked(pairs, sets, percent))
 
@@ -244,9 +267,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     given = docs.select(F.col(doc_id).alias("doc"), body.alias("body"))
     given = given.withColumn("rid", F.xxhash64("doc", "body"))
     sketch = count_sketch(given, "body", size)
-    rows = stage(map_texts(given, ["doc", "rid"], "body", partial(_describe, size, percent, sketch), "size bigint, class binary, head array<bigint>, small array<bigint>"), "rows")
+    rows = stage(map_texts(given, ["doc", "rid"], "body", partial(_describe, size, percent, sketch), "size bigint, class binary, head array<bigint>, small array<bigint>, map array<bigint>"), "rows")
     held = rows.where("size > 0").groupBy("class").agg(F.min("doc").alias("least"), F.min("rid").alias("rid"), F.first("size").alias("size"),
-                                                      F.first("head").alias("head"), F.first("small").alias("small"))
+                                                      F.first("head").alias("head"), F.first("small").alias("small"), F.first("map").alias("map"))
     classes = stage(held.withColumn("id", F.monotonically_increasing_id()), "classes")
     most = boundary(classes, percent)
     light = stage(light_links(classes, most, percent), "light")

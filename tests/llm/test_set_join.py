@@ -142,6 +142,15 @@ def test_linked_sets_share_their_lead():
             assert len(one & two) >= sj.lead(m) >= sj.lead(sj.shared_least(n))
 
 
+def test_bitmaps_differ_no_more_than_sets():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 20, 400, 3000):
+        one = np.unique(rng.integers(1, 1 << 62, n).astype(np.uint64))
+        other = np.unique(np.r_[one[n // 5:], rng.integers(1, 1 << 62, n // 7).astype(np.uint64)])
+        a, b = sj.bitmaps([one, other])
+        assert sum(bin(int(x) & (1 << 64) - 1).count("1") for x in a ^ b) <= len(np.setxor1d(one, other))
+
+
 def test_the_boundary_is_the_cheapest(spark):
     rows = planted(4)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")

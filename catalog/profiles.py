@@ -5,6 +5,7 @@ from __future__ import annotations
 from catalog.base import f32, forced_limit, query, sql_f32, table
 from creditloom.functions.text import with_text
 from creditloom.operators.association import (chi_square, contingency, equal_width_bins, pearson_pairs, phik_pairs)
+from creditloom.operators.density import kernel_density
 from creditloom.operators.metrics import auc, confusion, j_threshold, roc_points, to_class
 from creditloom.operators.profile import (category_counts, category_profile, default_rates, distinct_profile, duplicate_rows,
                                           null_profile, shape)
@@ -194,3 +195,23 @@ def auc_confusion(spark, sf):
     both = (auc(scored, "toxic", "score").withColumn("_one", one)
             .join(confusion(scored, "toxic", "predicted").withColumn("_one", one), "_one"))
     return both.select(f32("auc").alias("auc"), "tp", "fp", "fn", "tn", f32("precision").alias("precision"), f32("recall").alias("recall"))
+
+
+_DENSITY = f"""
+with v as (select case when c_nationkey < 3 then null else c_nationkey % 2 end as k, c_acctbal::double as v from customer where c_acctbal is not null),
+f as (select k, count(*) as n, stddev_samp(v) * pow(count(*), -0.2) as h, min(v) as a, max(v) as b from v group by k),
+g as (select k, n, h, a - 3 * h as low, (b + 3 * h - (a - 3 * h)) / 199 as step from f),
+p as (select v.k, (v - low) / step as p from v join g on v.k is not distinct from g.k),
+c as (select k, p, least(floor(p), 198) as cell from p),
+m as (select k, cell as spot, sum(1 - (p - cell)) as w from c group by all union all select k, cell + 1, sum(p - cell) from c group by all),
+x as (select g.*, unnest(range(200)) as point from g)
+select x.k, point::integer as point, {sql_f32('min(low + point * step)', 'x')},
+    {sql_f32('sum(w * exp(-0.5 * pow((point - spot) * step / h, 2))) / (min(n) * min(h) * sqrt(2 * pi()))', 'density')}
+from x join m on x.k is not distinct from m.k group by x.k, point"""
+
+
+@query("kernel_density", _DENSITY)
+def kernel_density_by_class(spark, sf):
+    """Density of a column by class, a missing class among them, at 200 points."""
+    rows = table(spark, sf, "customer").selectExpr("case when c_nationkey < 3 then null else c_nationkey % 2 end as k", "c_acctbal")
+    return kernel_density(rows, "c_acctbal", ["k"]).select("k", "point", f32("x").alias("x"), f32("density").alias("density"))

@@ -281,11 +281,15 @@ def _predict(model: LanguageModel, texts: list) -> list:
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` with ``lang_pred`` and ``score`` for every row, from the whole text and nothing else.
 
-    A null text, or one without a letter, is ``und`` with score 0, as is every text if nothing was learned.
+    A null text, or one without a letter, is ``und`` with score 0, as is every text if nothing was learned. Of languages with equal scores
+    the first in the model's order is taken. Repeated rows are answered one by one; very long texts are read whole; no documents give no rows.
     """
     return map_texts(docs, keep, text, partial(_predict, model), "lang_pred string, score double")
 
 
 def recognised(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has enough evidence for its best language; none if nothing was learned."""
+    """The rows of ``docs`` whose text has enough evidence for its best language; none if nothing was learned.
+
+    Null and letterless texts go. Repeated rows share one fate; other columns stay as they are; no documents give no rows.
+    """
     return keep_texts(docs, text, model.familiar)

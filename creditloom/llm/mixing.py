@@ -113,7 +113,11 @@ def word_count(text: str = "text"):
 
 
 def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mixture takes it, words as tokens; columns as they are."""
+    """The rows of ``docs``, each as many times as the mixture takes it, words as tokens; columns as they are.
+
+    A null or wordless text counts as one token, a very long one as all of its words. Null sources are a source; repeated rows are
+    taken one by one; no documents give no rows.
+    """
     given, names = plain_names(docs)
     keyed = with_row_key(given, names[doc_id], names[text], names[source])
     counted = keyed.select(F.concat_ws(":", "_k1", "_k2").alias("_key"), F.col(names[source]).alias("source"), word_count(names[text]).alias("tokens"))

@@ -172,7 +172,7 @@ def packed_documents(docs: DataFrame, vocabulary: str, capacity: int = 2048, end
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): every row of ``docs`` cut and placed.
 
     A null text is empty: its only id is the end id. Rows with null or repeated doc_ids are packed like any
-    other, each with pieces of its own. Only documents over ``capacity`` ids are cut. No documents: no rows.
+    other, each with pieces of its own. Only documents over ``capacity`` ids are cut, however long they are. No documents: no rows.
     """
     cut = map_texts(docs, [doc_id], text, partial(_cut, vocabulary, capacity, end_id), "_total bigint, _sums array<bigint>", AT_ONCE)
     pieces = stage(cut.select(F.col(doc_id).alias("doc_id"), "_total", F.posexplode("_sums").alias("piece", "ids_crc32"))

@@ -522,7 +522,11 @@ def _masked(model: Tagger | None, texts: list) -> list:
 
 
 def mask(docs: DataFrame, model: Tagger | None, text: str = "text") -> DataFrame:
-    """``docs`` with each span of the text replaced by its kind in angle brackets; other columns as they are."""
+    """``docs`` with each span of the text replaced by its kind in angle brackets; other columns as they are.
+
+    Of spans that overlap the one that starts first, then the longest, names the kind, and all that they cover is hidden. Null texts stay null,
+    empty ones empty; repeated rows are masked one by one; no documents give no rows.
+    """
     given, names = plain_names(docs)
     others = [c for c in given.columns if c != names[text]]
     masked = map_texts(given, others, names[text], partial(_masked, model), "masked string")

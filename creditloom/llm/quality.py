@@ -208,7 +208,8 @@ def _score(model: QualityModel, texts: list) -> list:
 def score_quality(docs: DataFrame, model: QualityModel, keep: list[str], text: str = "text", threshold: float = 0.7) -> DataFrame:
     """``keep`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on) for every row.
 
-    A null or empty text is one empty line. Only the text is looked at.
+    A null or empty text is one empty line. Only the text is looked at, the whole of it. Repeated rows get equal scores, each its own
+    row; no documents give no rows.
     """
     scored = map_texts(docs, keep, text, partial(_score, model), "score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -123,7 +123,7 @@ def limits(sketches: DataFrame, by: list[str], suffix: str) -> DataFrame:
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept) for every row.
 
-    Null languages and sources are groups like any other. A text without a word fails the base rules.
+    Null languages and sources are groups like any other. Texts are measured whole, however long. A text without a word fails the base rules.
     Repeated rows are judged and counted one by one; other columns aren't read; no documents give no rows.
     """
     group = [F.col(c).cast("string") for c in (lang, source)]

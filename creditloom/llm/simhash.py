@@ -118,7 +118,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
                 distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that stand for their near-duplicate group: one of each, with the smallest doc_id.
 
-    Of rows with equal ids the one with the smaller hash stays, of equal rows one; null ids come last.
+    Of rows with equal ids the one with the smaller hash stays, of equal rows one; null ids come last. Null and wordless texts are one
+    group; very long texts are read whole; no documents give no rows.
     """
     given, names = plain_names(docs)
     keyed = with_row_key(given, names[doc_id], names[text])

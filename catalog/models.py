@@ -107,7 +107,7 @@ from g, best"""
 def boosted_stump(spark, sf):
     """One split over two columns, one with missing values: the best of all cuts and of both sides for the missing ones."""
     customers = _customers(spark, sf)
-    model = trees.fit(customers, ["c_nationkey", "gap"], "c_acctbal", trees.Settings(trees=1, depth=1))
+    model = trees.fit(customers, ["c_nationkey", "gap"], "c_acctbal", trees.STUMP)
     return model.predict(customers, "prediction").select("c_custkey", f32("prediction").alias("prediction"))
 
 

@@ -3,38 +3,115 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from creditloom.session import materialise
 
-#: Correlations computed in one aggregate; more columns take more passes, not wider state.
+#: Correlations computed as plain aggregates; more are blocks of cross-products.
 PAIRS_PER_PASS = 300
+#: Columns of a block, rows multiplied at once, and parts in which a block is added up first.
+BLOCK_COLUMNS, ROWS_PER_PRODUCT, MERGE_PARTS = 128, 4096, 64
 #: Grid cells of a table that the phi_K integral takes at once.
 BLOCK_CELLS = 100_000
 
 
 def pearson_pairs(df: DataFrame, columns: Sequence[str], against: str | None = None) -> DataFrame:
-    """``(column_a, column_b, r)`` for each pair, over the rows where both are present."""
+    """``(column_a, column_b, r)`` for each pair, over the rows where both are present.
+
+    Up to ``PAIRS_PER_PASS`` pairs are plain aggregates of one scan; more are blocks of cross-products (:func:`pearson_blocks`). A constant
+    column, fewer than two shared rows, or a shared row with an infinite or NaN value give no ``r``.
+    """
     pairs = [(c, against) for c in columns if c != against] if against else list(combinations(columns, 2))
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start:start + PAIRS_PER_PASS]
-        row = df.agg(*[_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                       for i, (a, b) in enumerate(chunk)])
-        part = row.select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(chunk)])))
-        out = part if out is None else out.unionByName(part)
-    return out
+    if len(pairs) > PAIRS_PER_PASS:
+        return pearson_blocks(df, columns, against)
+    row = df.agg(*[_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r"))
+        for i, (a, b) in enumerate(pairs)])))
+
+
+def _block_pairs(columns: Sequence[str], against: str | None, width: int) -> tuple[list[str], list[tuple[slice, slice]]]:
+    """Columns in the order they are read, and the pairs of column ranges whose products are wanted."""
+    if against:
+        names = [c for c in columns if c != against]
+        cuts = [slice(i, min(i + width, len(names))) for i in range(0, len(names), width)]
+        return [*names, against], [(c, slice(len(names), len(names) + 1)) for c in cuts]
+    names = list(columns)
+    cuts = [slice(i, min(i + width, len(names))) for i in range(0, len(names), width)]
+    return names, [(x, y) for i, x in enumerate(cuts) for y in cuts[i:]]
+
+
+def _cross_products(centres: np.ndarray, blocks: list[tuple[slice, slice]], batches):
+    """A task's sums over its rows, a row a block: counts, sums, squares and products of the rows where both columns are present."""
+    sums = [np.zeros((7, x.stop - x.start, y.stop - y.start)) for x, y in blocks]
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_PER_PRODUCT):
+            part = batch.slice(start, ROWS_PER_PRODUCT)
+            known = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in part.columns])
+            value = np.column_stack([c.to_numpy(zero_copy_only=False) for c in part.columns]) - centres
+            finite = known & np.isfinite(value)
+            v, m, odd = np.where(finite, value, 0.0), known.astype(float), (known & ~finite).astype(float)
+            squares = v * v
+            for total, (x, y) in zip(sums, blocks):
+                total += np.stack([m[:, x].T @ m[:, y], v[:, x].T @ m[:, y], m[:, x].T @ v[:, y], squares[:, x].T @ m[:, y],
+                                   m[:, x].T @ squares[:, y], v[:, x].T @ v[:, y], odd[:, x].T @ m[:, y] + m[:, x].T @ odd[:, y]])
+    n = len(blocks)
+    yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([TaskContext.get().partitionId() % MERGE_PARTS] * n, pa.int32()),
+                                      pa.array([t.tobytes() for t in sums], pa.binary())], names=["block", "part", "sums"])
+
+
+def _total(rows: pd.DataFrame) -> np.ndarray:
+    total = np.frombuffer(rows["sums"].iloc[0]).copy()
+    for sums in rows["sums"].iloc[1:]:
+        total += np.frombuffer(sums)
+    return total
+
+
+def _merge(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"block": rows["block"].iloc[:1], "part": rows["part"].iloc[:1], "sums": [_total(rows).tobytes()]})
+
+
+def pearson_blocks(df: DataFrame, columns: Sequence[str], against: str | None = None, width: int = BLOCK_COLUMNS) -> DataFrame:
+    """What :func:`pearson_pairs` gives, for any number of columns from two scans.
+
+    The first scan takes each column's mean, so that products lose no digits; in the second each task adds matrices of products
+    for pairs of column blocks, which Spark adds up block by block in two rounds. A task holds 7 numbers a pair of columns, whatever the rows.
+    """
+    names, blocks = _block_pairs(columns, against, width)
+    fields = [F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)]
+    wide = df.select(*fields)
+    means = wide.agg(*[F.avg(F.when(F.abs(c) < float("inf"), F.col(c))).alias(c) for c in wide.columns]).first()
+    centres = np.array([0.0 if v is None or not np.isfinite(v) else v for v in means])
+    schema = "block int, part int, sums binary"
+    some = wide.mapInArrow(partial(_cross_products, centres, blocks), schema).groupBy("block", "part").applyInPandas(_merge, schema)
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = blocks[int(rows["block"].iloc[0])]
+        n, sx, sy, xx, yy, xy, odd = _total(rows).reshape(7, x.stop - x.start, y.stop - y.start)
+        with np.errstate(all="ignore"):
+            spread = np.maximum(xx - sx * sx / n, 0) * np.maximum(yy - sy * sy / n, 0)
+            flat = (xx - sx * sx / n <= 1e-14 * xx) | (yy - sy * sy / n <= 1e-14 * yy)
+            r = np.where((odd > 0) | flat | (n < 2), np.nan, (xy - sx * sy / n) / np.sqrt(spread))
+        i, j = np.indices(n.shape)
+        i, j, r = (i + x.start).ravel(), (j + y.start).ravel(), np.clip(r.ravel(), -1, 1)
+        wanted = i < j  # a block beside itself holds each pair twice
+        named = np.array(names, dtype=object)
+        return pd.DataFrame({"column_a": named[i[wanted]], "column_b": named[j[wanted]],
+                             "r": [float(v) if np.isfinite(v) else None for v in r[wanted]]}, dtype=object)
+
+    return some.groupBy("block").applyInPandas(finish, "column_a string, column_b string, r double")
 
 
 def _corr(a: Column, b: Column) -> Column:
-    r = F.corr(a, b)
-    return F.when(~F.isnan(r), r)  # a constant column has no correlation
+    r = F.try_divide(F.regr_sxy(a, b), F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b)))  # null for a constant column
+    return F.when(~F.isnan(r), r)
 
 
 def equal_width_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:

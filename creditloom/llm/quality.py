@@ -14,7 +14,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from creditloom.llm.common import map_texts
 from creditloom.llm.linear import platt, sigmoid
@@ -180,25 +180,23 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           per_class: int = 750) -> QualityModel:
     """A model from at most ``per_class`` labelled whole texts of each class, chosen by a hash of their ids.
 
-    Rows of ``labels`` with a null id or a label other than 0 and 1 teach nothing; an id labelled more than
-    once takes its smallest label; of rows that share an id one text is taken.
+    Rows of ``labels`` with a null id, a label other than 0 and 1 or no document teach nothing; an id labelled more than
+    once takes its smallest label; of rows that share an id one text is taken. Nothing labelled gives a model without a preference.
     """
-    known = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1))
-             .groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("good")))
-    share = {r["good"]: 1.5 * per_class / r["count"] for r in known.groupBy("good").count().collect()}
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
-    limit = F.when(F.col("good") == 1, F.lit(share.get(1, 0.0))).otherwise(F.lit(share.get(0, 0.0)))
-    chosen = known.withColumn("draw", draw / limit).where("draw < 1").orderBy("draw").limit(4 * per_class)
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "good", "draw").agg(F.min("text").alias("text"))
-    rows = sorted((r["good"], r["draw"], r["id"], r["text"]) for r in _bounded(found, per_class))
-    kept = [r for k in (0, 1) for r in [x for x in rows if x[0] == k][:per_class]]
-    return fit([r[3] for r in kept], [r[0] for r in kept])
+    rows = sorted(((r["good"], r["draw"], r["id"], r["text"]) for r in sampled(docs, labels, doc_id, text, label, per_class).collect()))
+    return fit([r[3] for r in rows], [r[0] for r in rows])
 
 
-def _bounded(found: DataFrame, per_class: int) -> list:
-    """The sampled rows: at most 4 * ``per_class`` texts, a null text as an empty one."""
-    return found.fillna("", ["text"]).collect()
+def sampled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
+            per_class: int = 750) -> DataFrame:
+    """(id, good, draw, text): the ``per_class`` documents of each class with the smallest hashes of their ids, a null text as an empty one."""
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    known = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1))
+             .groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("good")))
+    drawn = known.join(texts.select("id"), "id", "left_semi").withColumn("draw", F.xxhash64("id"))
+    place = F.row_number().over(Window.partitionBy("good").orderBy("draw", "id"))
+    chosen = drawn.withColumn("place", place).where(F.col("place") <= per_class).drop("place")  # limited before the shuffle
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "good", "draw").agg(F.min("text").alias("text")).fillna("", ["text"])
 
 
 def _score(model: QualityModel, texts: list) -> list:

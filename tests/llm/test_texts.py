@@ -144,6 +144,19 @@ def test_held_out_quality(spark):
     assert right[1] >= 0.95 and right[0] >= 0.85
 
 
+def test_labels_without_a_document_take_no_place_in_the_sample(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality")
+    orphans = spark.range(10 ** 9, 10 ** 9 + 20_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    alone = {tuple(r) for r in quality.sampled(documents, labels, per_class=10).select("id", "good", "draw").collect()}
+    beside = {tuple(r) for r in quality.sampled(documents, labels.union(orphans), per_class=10).select("id", "good", "draw").collect()}
+    assert alone == beside and sorted(r[1] for r in alone) == [0] * 10 + [1] * 10
+    drawn = {k: [r[2] for r in alone if r[1] == k] for k in (0, 1)}
+    every = (labels.join(documents.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+             .select("quality", F.xxhash64("doc_id").alias("draw")).collect())
+    for k in (0, 1):
+        assert sorted(drawn[k]) == sorted(r.draw for r in every if r.quality == k)[:10]
+
+
 def test_quality_of_odd_texts(spark, odd, empty, documents):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.train(documents, labels, per_class=40)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from creditloom.llm.common import map_texts
+from creditloom.llm.common import map_texts, stage
 from creditloom.llm.linear import platt, sigmoid
 
 #: Character classes of a byte: lower case and non-ASCII, upper case, digit, symbol, exclamation, other mark, space.
@@ -193,9 +193,15 @@ def sampled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: st
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     known = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1))
              .groupBy(F.col(doc_id).alias("id")).agg(F.min(label).cast("int").alias("good")))
-    drawn = known.join(texts.select("id"), "id", "left_semi").withColumn("draw", F.xxhash64("id"))
+    drawn = stage(known.join(texts.select("id"), "id", "left_semi").withColumn("draw", F.xxhash64("id")), "drawn")
+    # hashes are even: the smallest per_class of n lie below this share of them but for a chance under 1e-15, so few rows meet in a class's window
+    each = per_class + 10 * np.sqrt(per_class) + 50
+    least = F.lit(None).cast("double")
+    for r in drawn.groupBy("good").count().collect():  # two rows
+        least = F.when(F.col("good") == r["good"], F.lit(min(1.0, each / r["count"]))).otherwise(least)
+    share = F.col("draw").cast("double") / F.lit(2.0 ** 64) + 0.5
     place = F.row_number().over(Window.partitionBy("good").orderBy("draw", "id"))
-    chosen = drawn.withColumn("place", place).where(F.col("place") <= per_class).drop("place")  # limited before the shuffle
+    chosen = drawn.where(share <= least).withColumn("place", place).where(F.col("place") <= per_class).drop("place")
     return texts.join(F.broadcast(chosen), "id").groupBy("id", "good", "draw").agg(F.min("text").alias("text")).fillna("", ["text"])
 
 

@@ -2,12 +2,13 @@
 
 import collections
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from creditloom.llm import langid, pii, quality, rules, tokens
 from creditloom.llm.catalog import QUERIES, vocabulary
-from creditloom.llm.common import remainder, stage_path
+from creditloom.llm.common import BATCH_BYTES, map_texts, remainder, stage_path
 from tests.llm import brute
 from tests.llm.conftest import SF
 
@@ -23,6 +24,23 @@ def whole(path, texts):
     return [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def test_arrow_batches_are_limited_by_bytes(spark):
+    def held(texts):  # the slice is a whole batch
+        return [pa.array([sum(map(len, texts))] * len(texts), pa.int64())]
+
+    setting, length = "spark.sql.execution.arrow.maxBytesPerBatch", 10_000
+    rows = spark.range(0, 3000, 1, 1).select("id", F.rpad(F.col("id").cast("string"), length, "x").alias("text"))
+    before = spark.conf.get(setting, None)
+    try:
+        for own, most in ((None, BATCH_BYTES), (str(1 << 20), 1 << 20)):  # a session's own limit stays
+            spark.conf.unset(setting) if own is None else spark.conf.set(setting, own)
+            got = map_texts(rows, ["id"], "text", held, "held bigint", at_once=1 << 40).collect()
+            assert sorted(r.id for r in got) == list(range(3000))
+            assert max(r.held for r in got) <= most + length
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 def test_chunks_give_the_librarys_tokens(odd):
     texts = [r.text for r in odd.select("text").collect()]
     parts = ["the", "The", " ", "  ", "\n", "\t", "É", "ß", ".", ",", "'s", "don't", "12", "<|endoftext|>", "<|ENDOFTEXT|>", "|>",

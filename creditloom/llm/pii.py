@@ -25,8 +25,10 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, READ, EDGE = 128, 768, 32
 STRIDE = READ - 2 * EDGE
 #: Windows read at once, and blank characters after a text.
-AT_ONCE, AFTER = 768, 16
+AT_ONCE, AFTER = 1536, 16
 HIDDEN, TAGS, SURE = 12, 5, 0.95
+#: The emission of other tags than 0 where no text is read.
+NEVER = -1e4
 
 # The patterns of the contract. Digit runs are entered at their start only and taken
 # whole (possessively), which matches the same spans without trying a long run again from each digit.
@@ -130,9 +132,18 @@ def slope(u: np.ndarray) -> np.ndarray:
 
 #: By what inputs are multiplied before :func:`squash`: a gate is a tanh of half, moved to 0 to 1.
 _SCALE = np.r_[np.full(3 * HIDDEN, 0.25, np.float32), np.full(HIDDEN, 0.5, np.float32)]
+_ROOT = np.float32(0.5 ** 0.5)
 _BACK = _SCALE * np.r_[np.full(3 * HIDDEN, 0.5, np.float32), np.ones(HIDDEN, np.float32)]
 
 
+def _widened(rows: np.ndarray, width: int) -> np.ndarray:
+    """The first ``width`` columns, zeros after the last."""
+    made = np.zeros((len(rows), width), np.float32)
+    kept = min(width, rows.shape[1])
+    made[:, :kept] = rows[:, :kept]
+    return made
+
+
 @dataclass
 class Tagger:
     """Input rows by class, recurrent weights, output weights and CRF transitions (tag 0: none)."""
@@ -185,31 +196,50 @@ class Tagger:
             memory.append(kept)
         return states, memory
 
-    def read(self, classes: np.ndarray) -> np.ndarray:
-        """Emissions (time, tag, windows) of windows (time, windows) of classes: :meth:`run` and :meth:`emissions` without keeping the states."""
+    def read(self, classes: np.ndarray, length: np.ndarray | None = None) -> np.ndarray:
+        """Emissions (time, tag, windows) of windows (time, windows) of classes: :meth:`run` and :meth:`emissions` without keeping the states.
+
+        ``length``: how much of each window is read, the longest first; what lies past a window's end is surely tag 0. Gates, the
+        candidate and the memory are kept as halves (u (2 - |u|) / 2 is v (root 2 - |v|) for v = u / root 2), and the product that
+        carries the state to the next position gives the emissions of the last one too.
+        """
         times, n = classes.shape
+        alive = [n] * times if length is None else np.searchsorted(-length, -np.arange(times)).tolist()
         emit = np.empty((times, TAGS, n), np.float32)
         emit[:] = self.bias[:, None]
-        z, wide = (np.empty((4 * HIDDEN, n), np.float32) for _ in range(2))
-        part, narrow, scores = np.empty((HIDDEN, n), np.float32), np.empty((HIDDEN, n), np.float32), np.empty((TAGS, n), np.float32)
+        for t, m in enumerate(alive):
+            emit[t, 0, m:], emit[t, 1:, m:] = 0.0, NEVER
+        room = [np.empty(rows * n, np.float32) for rows in (4 * HIDDEN + TAGS, 4 * HIDDEN, HIDDEN, HIDDEN)]
         for d in range(2):
-            table, weight = self.inputs[d] * _SCALE, np.ascontiguousarray((self.recurrent[d] * _SCALE).T)
-            output = np.ascontiguousarray(self.output[d * HIDDEN:(d + 1) * HIDDEN].T)
-            h, c = np.zeros((HIDDEN, n), np.float32), np.zeros((HIDDEN, n), np.float32)
+            table, output = self.inputs[d] * (_SCALE * _ROOT), self.output[d * HIDDEN:(d + 1) * HIDDEN]
+            weight = np.ascontiguousarray(np.c_[self.recurrent[d] * (_SCALE * _ROOT), output].T)
+            h = c = np.zeros((HIDDEN, 0), np.float32)
+            last, before = -1, 0
             for t in range(times) if d == 0 else range(times - 1, -1, -1):
-                np.matmul(weight, h, out=z)
-                z += table.take(classes[t], axis=0).T
-                squash(z, wide)
-                gate = z[:3 * HIDDEN]
-                gate *= 0.5
-                gate += 0.5
-                c *= z[HIDDEN:2 * HIDDEN]
-                np.multiply(z[:HIDDEN], z[3 * HIDDEN:], out=part)
+                m = alive[t]
+                if m != before:  # some windows end or begin: arrays of the new width, without gaps
+                    if before:
+                        emit[last, :, :before] += output.T @ h
+                    h, c = _widened(h, m), _widened(c, m)
+                    both, wide, part, narrow = (r[:len(r) // n * m].reshape(-1, m) for r in room)
+                    z, score = both[:4 * HIDDEN], both[4 * HIDDEN:]
+                    gates, i, f, o, g = z[:3 * HIDDEN], z[:HIDDEN], z[HIDDEN:2 * HIDDEN], z[2 * HIDDEN:3 * HIDDEN], z[3 * HIDDEN:]
+                np.matmul(weight, h, out=both)
+                if m == before:
+                    emit[last, :, :m] += score
+                z += table.take(classes[t, :m], axis=0).T
+                z.clip(-_ROOT, _ROOT, out=z)
+                np.abs(z, out=wide)
+                np.subtract(2 * _ROOT, wide, out=wide)
+                z *= wide
+                gates += 0.5
+                c *= f
+                np.multiply(i, g, out=part)
                 c += part
-                np.multiply(c, 0.5, out=part)
-                squash(part, narrow)
-                np.multiply(z[2 * HIDDEN:3 * HIDDEN], part, out=h)
-                emit[t] += np.matmul(output, h, out=scores)
+                np.copyto(part, c)
+                np.multiply(o, squash(part, narrow), out=h)
+                last, before = t, m
+            emit[last, :, :before] += output.T @ h
         return emit
 
     def emissions(self, states: list[np.ndarray]) -> np.ndarray:
@@ -218,17 +248,15 @@ class Tagger:
 
 def viterbi(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
     """Best tags (time, windows)."""
-    times, n, _ = emit.shape
-    score, back = emit[0], np.zeros(emit.shape, np.int8)
+    times, n, kinds = emit.shape
+    score = np.empty((times, kinds, n), np.result_type(emit, step))
+    score[:] = emit.transpose(0, 2, 1)
     for t in range(1, times):
-        ways = score[:, :, None] + step
-        back[t] = ways.argmax(axis=1)
-        score = ways.max(axis=1) + emit[t]
+        score[t] += (score[t - 1][:, None] + step[:, :, None]).max(axis=0)
     tags = np.empty((times, n), np.int8)
-    tags[-1] = score.argmax(axis=1)
-    rows = np.arange(n)
+    tags[-1] = score[-1].argmax(axis=0)
     for t in range(times - 1, 0, -1):
-        tags[t - 1] = back[t][rows, tags[t]]
+        tags[t - 1] = (score[t - 1] + step[:, tags[t]]).argmax(axis=0)
     return tags
 
 
@@ -348,44 +376,73 @@ def added_spans(model: Tagger | None, texts: list[str], fixed: list[list[Span]])
         total += len(texts[k]) + READ + AFTER
     classes = np.concatenate(parts)
     length = np.minimum(READ, np.array([len(t) for t in texts])[which] - place + AFTER)
-    order = np.argsort(length, kind="stable")  # windows of like length together: few blanks are read
+    order = np.argsort(-length, kind="stable")  # the longest first: no position past a window's end is read
+    taken = [sorted((s, e) for _, s, e in one) for one in fixed]
     for at in range(0, len(place), AT_ONCE):
         chosen = order[at:at + AT_ONCE]
         owners, starts = which[chosen], place[chosen]
-        emit = model.read(classes[np.arange(length[chosen].max())[:, None] + (base[owners] + starts)])
+        emit = model.read(classes[np.arange(length[chosen[0]])[:, None] + (base[owners] + starts)], length[chosen])
         hit = np.flatnonzero(~idle(emit, model.step))
         emit = np.ascontiguousarray(emit[:, :, hit].transpose(0, 2, 1))
         best = viterbi(emit, model.step)
-        some = best.any(axis=0)
-        hit, best = hit[some], best[:, some]
-        if not len(hit):
-            continue
-        chance = crf_marginals(emit[:, some], model.step)[0]
-        sured = np.take_along_axis(chance, best[:, :, None].astype(np.int64), axis=2)[:, :, 0]
-        for column, j in enumerate(hit.tolist()):
-            k, s = int(owners[j]), int(starts[j])
+        some = np.flatnonzero(best.any(axis=0))
+        open_, ranges = [], []
+        for column in some.tolist():
+            k, s = int(owners[hit[column]]), int(starts[hit[column]])
             end = len(texts[k])
             if k not in tags:
                 tags[k], sure[k] = np.zeros(end, np.int8), np.ones(end, np.float32)
             low = 0 if s == 0 else s + EDGE
             high = end if s + READ >= end else s + READ - EDGE
-            tags[k][low:high] = best[low - s:high - s, column]
+            own = best[low - s:high - s, column]
+            tags[k][low:high] = own
+            if may_add(own, low, texts[k], taken[k]):
+                open_.append(column)
+                ranges.append((k, s, low, high))
+        if not open_:
+            continue
+        chance = crf_marginals(emit[:, open_], model.step)[0]  # of windows with a span that may be added, no others
+        sured = np.take_along_axis(chance, best[:, open_, None].astype(np.int64), axis=2)[:, :, 0]
+        for column, (k, s, low, high) in enumerate(ranges):
             sure[k][low:high] = sured[low - s:high - s, column]
     for k, found in tags.items():
-        cuts = np.flatnonzero(np.diff(np.r_[0, found, 0]))
-        taken = sorted((s, e) for _, s, e in fixed[k])
-        for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if not found[start] or sure[k][start:end].mean() < SURE:
+        for tag, start, end in runs(found):
+            if sure[k][start:end].mean() < SURE:
                 continue
-            kind, value = KINDS[found[start] - 1], texts[k][start:end]
-            lead = len(value) - len(value.lstrip(" \n\t,;:"))
-            value = value.strip(" \n\t,;:")
-            start, end = start + lead, start + lead + len(value)
-            if plausible(kind, value) and not any(s < end and start < e for s, e in taken):
+            kind, (start, end) = KINDS[tag - 1], trimmed(texts[k], start, end)
+            if plausible(kind, texts[k][start:end]) and not any(s < end and start < e for s, e in taken[k]):
                 added[k].append((kind, start, end))
     return added
 
 
+def runs(tags: np.ndarray) -> list[tuple[int, int, int]]:
+    """(tag, start, end) of the runs of each tag but 0."""
+    cuts = np.flatnonzero(np.diff(np.r_[0, tags, 0]))
+    firsts = cuts[:-1].tolist()
+    return [(tag, s, e) for tag, s, e in zip(tags[firsts].tolist(), firsts, cuts[1:].tolist()) if tag]
+
+
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """A span without blanks and marks at its ends."""
+    value = text[start:end]
+    start += len(value) - len(value.lstrip(" \n\t,;:"))
+    return start, start + len(value.strip(" \n\t,;:"))
+
+
+def may_add(tags: np.ndarray, low: int, text: str, taken: list[tuple[int, int]]) -> bool:
+    """Whether a run of these tags, of a text from ``low``, may be or belong to a span that is added, however sure it is.
+
+    A run that overlaps a fixed span can't, nor can the longer one that it may be a part of; one that is no part of a longer one must be plausible.
+    """
+    for tag, start, end in runs(tags):
+        whole = (start > 0 or low == 0) and (end < len(tags) or low + end == len(text))
+        a, b = trimmed(text, low + start, low + end)
+        if a < b and any(s < b and a < e for s, e in taken) or whole and not plausible(KINDS[tag - 1], text[a:b]):
+            continue
+        return True
+    return False
+
+
 def plausible(kind: str, value: str) -> bool:
     """Whether a decoded span can be of its kind at all, however it is written."""
     digits = [c for c in value if c.isdecimal() and c.isascii()]

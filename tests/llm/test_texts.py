@@ -300,6 +300,34 @@ def test_windows_without_spans_are_idle():
     assert seen > 20
 
 
+def test_windows_are_read_on_their_own_length():
+    """Side by side as alone, whatever the lengths beside: no blank is read for a longer neighbour."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    model, length = pii.Tagger.new(5), np.array([90, 90, 71, 40, 40, 40, 17, 1])
+    classes = rng.integers(0, pii.CLASSES, (90, 8)).astype(np.uint8)
+    emit = model.read(classes, length)
+    for j, n in enumerate(length.tolist()):
+        assert np.allclose(emit[:n, :, j], model.emissions(model.run(classes[:n, j:j + 1])[0])[:, 0], atol=1e-4)
+        assert not pii.viterbi(emit.transpose(0, 2, 1), model.step)[n:, j].any()
+    assert np.allclose(model.read(classes)[:, :, 5], model.read(classes[:, 5:6])[:, :, 0], atol=1e-4)
+
+
+def test_only_windows_that_may_add_a_span_get_marginals(tagger, monkeypatch):
+    """Windows whose spans are all fixed ones are left out of forward-backward, and the spans stay those of the marginals of all."""
+    rng, prose = __import__("random").Random(8), "Plain words come before this and more of them so that it is a sentence. "
+    values = ["x@y.zz", "joe.x7@mail9.example.org", "+1 (212) 555-0199", "10.22.33.44", "4111 1111 1111 1111", "jane.doe (at) example.org", "10 . 22 . 33 . 44"]
+    texts = ["".join(rng.choice([prose, prose, prose, rng.choice(values) + " "]) for _ in range(rng.randint(1, 60))) for _ in range(60)]
+    fixed_only = [prose * k + "Write to joe.x7@mail9.example.org today. " + prose * 3 for k in range(9)]
+    whole, seen = pii.crf_marginals, []
+    monkeypatch.setattr(pii, "crf_marginals", lambda emit, step: seen.append(emit.shape[1]) or whole(emit, step))
+    got, few = pii.detect(tagger, texts), sum(seen)
+    seen.clear()
+    assert pii.detect(tagger, fixed_only)[1] == [[]] * 9 and sum(seen) == 0
+    monkeypatch.setattr(pii, "may_add", lambda *args: True)
+    assert pii.detect(tagger, texts) == got and sum(seen) > few and sum(map(len, got[1])) > 20
+
+
 def test_masking_keeps_rows_and_columns(odd, tagger):
     masked = pii.mask(odd, tagger)
     assert masked.columns == odd.columns and masked.count() == odd.count()

@@ -4,7 +4,8 @@ A library encodes a chunk of text the same in any surroundings if no token can c
 For byte-level vocabularies whose pattern lets a token start with one blank that is so before each
 single blank between two other characters; for vocabularies that drop white space it is so at each
 blank and line feed. So texts are cut into chunks, each distinct chunk of some texts is looked up once in a bounded memory
-of two generations, what is new there goes to the library, and the texts are put together from chunks. Texts
+of two generations, what is new there is looked up as a word and the marks after it, what is still new goes to the library, and
+the texts are put together from chunks. Texts
 with other runs of white space go to the library whole (byte level).
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import string
 from functools import cache
 
 import numpy as np
@@ -23,7 +25,12 @@ from pyspark.sql.utils import AnalysisException
 from creditloom.llm.common import map_texts, stage
 
 #: Chunks that a worker remembers in each of two generations, the longest one worth it, and bytes of text at once.
-REMEMBERED, LONGEST, AT_ONCE = 200_000, 64, 4 << 20
+REMEMBERED, LONGEST, AT_ONCE = 300_000, 64, 4 << 20
+
+#: Letters whose only other form is their upper case: words of them end at any of the marks.
+_LOWER = string.ascii_lowercase + "".join(map(chr, range(0xDF, 0x100))).replace("\u00f7", "")
+_LETTERS, _MARKS = _LOWER + _LOWER.replace("\u00df", "").replace("\u00ff", "").upper(), string.punctuation
+
 
 
 class Chunks:
@@ -35,7 +42,7 @@ class Chunks:
 
     def __init__(self, path: str, blanks: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.library, self.blanks = Tokenizer.from_file(path), blanks
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin a word (blanks), or end one
@@ -44,6 +51,13 @@ class Chunks:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.tails = {"": b"", ".": self.whole(["."])[0], ",": self.whole([","])[0]}
+        self.direct = None  # the model without the steps before it, which leave plain words as they are
+        if not blanks:
+            direct = Tokenizer(self.library.model)
+            direct.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            probe = " ".join([*_LOWER, *(a + b for a in _LOWER for b in _LOWER), _LOWER])
+            if direct.encode(probe, add_special_tokens=False).ids == self.library.encode(probe, add_special_tokens=False).ids:
+                self.direct = direct
 
     def whole(self, texts: list[str]) -> list[bytes]:
         made = []
@@ -52,13 +66,13 @@ class Chunks:
             made += [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
         return made
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _words(self, words: list[str], plain: bool = False) -> list[bytes]:
         """Ids of words of letters: many in one call, told apart by the ids at words' ends."""
-        made = []
+        made, reader = [], self.direct if plain else self.library
         for start in range(0, len(words), 1000):
             part = words[start:start + 1000]
             line = " ".join(part)
-            ids = np.array(self.library.encode_batch_fast([" " + line if self.blanks else line], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.array(reader.encode_batch_fast([" " + line if self.blanks else line], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.edge[ids]) + (not self.blanks)
             bounds = np.r_[cuts, len(ids)] if self.blanks else np.r_[0, cuts]
             if len(bounds) == len(part) + 1 and bounds[0] == 0 and bounds[-1] == len(ids):
@@ -69,8 +83,11 @@ class Chunks:
         return made
 
     def _key(self, chunk: str) -> tuple[str, str]:
-        """What is remembered of a chunk, and a full stop or comma after a word of letters, which is a token of its own."""
+        """What is remembered of a chunk, and the marks after a word of letters, which are tokens of their own."""
         if not self.blanks:
+            word = chunk.rstrip(_MARKS)
+            if word and not word.strip(_LETTERS):
+                return word.lower(), chunk[len(word):]
             if not chunk.isascii():
                 if not chunk[:-1].lower().isalpha():
                     return chunk, ""  # a letter whose lower case has a mark: it joins what comes after
@@ -85,18 +102,39 @@ class Chunks:
     def ids(self, chunks: list[str]) -> list[bytes]:
         """Ids of each chunk, by memory or library."""
         if len(self.young) > REMEMBERED:
-            self.old, self.young = {k: v for k, v in self.young.items() if len(k) <= LONGEST}, {}
-        young, keys = self.young, [self._key(c) for c in chunks]
-        missing = {k for k, _ in keys if k not in young}
-        for k in missing & self.old.keys():
-            young[k] = self.old[k]
-        fresh = [k for k in missing if k not in young]
-        words = [k for k in fresh if k.isalpha()]
-        others = [k for k in fresh if not k.isalpha()]
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        found, unknown = list(map(young.get, chunks)), []
+        missing = [c for c, v in zip(chunks, found) if v is None]
+        for c, v in zip(missing, map(old.get, missing)):
+            if v is None:
+                unknown.append(c)
+            else:
+                young[c] = v
+        names, marks = [], []  # no pairs: what the collector follows is kept few
+        for c in unknown:
+            name, mark = self._key(c)
+            names.append(name)
+            marks.append(mark)
+        wanted = set(names) if self.blanks else {*names, *marks}
+        wanted -= young.keys()
+        for k in wanted & old.keys():
+            young[k] = old[k]
+        fresh = wanted - young.keys()
+        plain = {k for k in fresh if k and not k.strip(_LOWER)} if self.direct else set()
+        words = [k for k in fresh - plain if k.isalpha()]
+        others = [k for k in fresh - plain if not k.isalpha()]
+        young.update(zip(plain, self._words(list(plain), True)))
         young.update(zip(words, self._words(words)))
         young.update(zip(others, self.whole([" " + k if self.blanks else k for k in others])))
-        tails = self.tails
-        return [young[k] + tails[t] if t else young[k] for k, t in keys]
+        tails = self.tails if self.blanks else young
+        for c, k, t in zip(unknown, names, marks):
+            young[c] = young[k] + tails[t] if t else young[k]
+        made = [young[c] if v is None else v for c, v in zip(chunks, found)]
+        for c in [*unknown, *fresh]:
+            if len(c) > LONGEST:
+                young.pop(c, None)
+        return made
 
 
 @cache
@@ -104,10 +142,18 @@ def _chunks(path: str, blanks: bool) -> Chunks:
     return Chunks(path, blanks)
 
 
+def _lowered(texts: pa.Array) -> pa.Array:
+    """ASCII letters in lower case, but in texts where case may tell: special tokens, and letters that a mark may join in one case only."""
+    tells = pc.or_(pc.match_substring(texts, "|>"), pc.match_substring_regex(texts, r"\pM"))
+    return pc.if_else(tells, texts, pc.ascii_lower(texts))
+
+
 def _split(texts: list[str], line_feeds: bool) -> tuple[np.ndarray, list[str], np.ndarray]:
     """Where each text's chunks begin (and the end), the distinct chunks, and the number of each chunk among them."""
     array = pa.array(texts, pa.string())
-    parts = pc.split_pattern(pc.replace_substring(array, "\n", " ") if line_feeds else array, " ")
+    if line_feeds:
+        array = _lowered(pc.replace_substring(array, "\n", " "))
+    parts = pc.split_pattern(array, " ")
     coded = parts.flatten().dictionary_encode()
     return parts.offsets.to_numpy().astype(np.int64), coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 

@@ -62,6 +62,36 @@ def test_memory_of_two_generations(monkeypatch):
     assert len(b"".join(chunks.ids(["common", "words."]))) // 4 == len(whole(vocabulary(BYTES), [" common words."])[0])
 
 
+def test_marks_after_words_are_no_work_for_the_library(monkeypatch):
+    """A remembered word in upper case or before any marks is put together from memory, to the library's ids."""
+    chunks = tokens.Chunks(vocabulary(WORDS), False)
+    words = ["common", "größe", "été", "straße", "don", "s", "t", "a"]
+    marks = ["$$$", "!!", ",%%%", "'", "''", "...", "_", "\")", "###", "|>", "</"]
+    chunks.ids([*words, *marks])
+    asked, whole_ = [], chunks.whole
+    monkeypatch.setattr(chunks, "whole", lambda texts: asked.extend(texts) or whole_(texts))
+    monkeypatch.setattr(chunks, "_words", lambda words, plain=False: asked.extend(words) or [b""] * len(words))
+    forms = [case(w) + m for w in words for m in ["", *marks] for case in (str, str.title, str.upper) if case(w).lower() == w]
+    got = chunks.ids(forms)
+    assert not asked and [len(g) // 4 for g in got] == [len(i) for i in whole(vocabulary(WORDS), forms)]
+    assert b"".join(got) == b"".join(i.to_bytes(4, "little") for ids in whole(vocabulary(WORDS), forms) for i in ids)
+
+
+def test_case_is_kept_where_it_tells():
+    """H and a mark below are two letters, h and the same mark one; special tokens are told by case."""
+    texts = ["H\u0331 THE H\u0331x Eh\u0331", "THE h\u0331 Word", "THE <|ENDOFTEXT|> <|endoftext|> Word", "Plain WORDS, Größe ÉTÉ"] * 2
+    ids, bounds = tokens.token_ids(vocabulary(WORDS), texts)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == whole(vocabulary(WORDS), texts)
+    assert len(tokens._split(["The THE the", "tHe\nthE"], True)[1]) == 1
+
+
+def test_long_chunks_are_not_remembered():
+    for blanks, name in ((False, WORDS), (True, BYTES)):
+        chunks, long = tokens.Chunks(vocabulary(name), blanks), "long" * 40
+        first = chunks.ids(["a", long, long + ".", long + "$$", "a"])
+        assert long not in chunks.young and long + "$$" not in chunks.young and chunks.ids(["a", long, long + ".", long + "$$", "a"]) == first
+
+
 def test_token_cache_is_filled_once_and_used(spark, odd, empty):
     folder = stage_path(spark, "cache")
     want = sorted(((r.doc_id, len((r.text or "").encode()), n) for r, n in

@@ -79,7 +79,11 @@ def _key(fp: str, start: int) -> Column:
 
 
 def links(distinct: DataFrame, fp: str = "fp", distance: int = DISTANCE) -> DataFrame:
-    """(a, b), a < b: all pairs of the distinct fingerprints that differ in at most ``distance`` (0 to 3) bits, each once."""
+    """(a, b), a < b: all pairs of the distinct fingerprints that differ in at most ``distance`` (0 to 3) bits, each once.
+
+    Both sides are shuffled, whatever Spark takes their sizes for: it does not count the 4 and 68 rows that a fingerprint becomes, and would
+    broadcast them from the driver.
+    """
     if not 0 <= distance <= DISTANCE:
         raise ValueError(f"distance must be 0 to {DISTANCE}: the chains have one bit to spare in the second segment")
     keys = F.array(*[_key(fp, i) for i in range(SEGMENTS)])
@@ -89,7 +93,7 @@ def links(distinct: DataFrame, fp: str = "fp", distance: int = DISTANCE) -> Data
             .select("b", F.explode(F.transform(flips, lambda bit: F.col("key").bitwiseXOR(bit))).alias("key")))
     start = _first_start("(a ^ b)", distance)
     viable = F.expr(f"a < b and {start} = shiftrightunsigned(p.key, 32)")
-    return plain.alias("p").join(near.alias("q"), (F.col("p.key") == F.col("q.key")) & viable).select("a", "b")
+    return plain.alias("p").join(near.alias("q").hint("merge"), (F.col("p.key") == F.col("q.key")) & viable).select("a", "b")
 
 
 def _rooted(classes: DataFrame, distance: int) -> DataFrame:
